@@ -5,7 +5,6 @@ keyed Feistel network on its own domain, and the pieces are joined again:
 
     card      13 to 19 digits with a valid Luhn sum: all digits but the last are permuted, the
               last is set so that the sum holds again
-    number    13 to 19 digits without one: all digits are permuted
     ssn       area, group and serial are permuted among the valid ones
     phone     the ten national digits are permuted, the country code stays
     ip        the four octets as one 32-bit number
@@ -27,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 10
-KINDS = ["email", "ip", "date", "phone", "ssn", "card", "number"]
+KINDS = ["email", "ip", "date", "phone", "ssn", "card"]
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
 DATE = r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-])"
@@ -166,7 +165,7 @@ def _kind(m: Column) -> Column:
         .when(whole(IP), "ip")
         .when(whole(DATE), F.when(_day(m).isNotNull(), "date"))
         .when(whole(SSN), F.when(_ssn_valid(m), "ssn"))
-        .when(whole(NUMBER), F.when(luhn_sum(digits) % 10 == 0, "card").otherwise("number"))
+        .when(whole(NUMBER), F.when(luhn_sum(digits) % 10 == 0, "card"))
         .otherwise("phone")
     )
 
@@ -182,7 +181,6 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
             .when(kind == "date", _date(m, key))
             .when(kind == "ssn", _ssn(m, key))
             .when(kind == "card", _card(m, key))
-            .when(kind == "number", _refilled(m, permuted_digits(_only_digits(m), key, "number")))
             .when(kind == "phone", _phone(m, key))
             .otherwise(m)
         )
