@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -160,7 +161,7 @@ class Pack:
 
     def __init__(self, table: pa.Table, length: int, head: int):
         self.length, self.head = length, head
-        docs = table.filter(pa.compute.equal(table["kind"], 0)).select(["id", "text"]).combine_chunks()
+        docs = table.filter(pc.equal(table["kind"], 0)).select(["id", "text"]).combine_chunks()
         self.ids = docs["id"]
         texts = [(t or "").encode() for t in docs["text"].to_pylist()]
         self.ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
@@ -203,7 +204,7 @@ def _bucket(heads: np.ndarray, buckets: int) -> np.ndarray:
 def _with_flags(table: pa.Table, length: int, head: int, buckets: int) -> Pack:
     pack = Pack(table, length, head)
     heads, _ = pack.heads()
-    flags = table.filter(pa.compute.equal(table["kind"], 1))
+    flags = table.filter(pc.equal(table["kind"], 1))
     shared = np.zeros(len(heads), dtype=bool)
     edges = np.searchsorted(_bucket(heads, buckets), np.arange(buckets + 1))
     for b, bits in zip(flags["a"].to_pylist(), flags["bytes"].to_pylist()):
@@ -295,7 +296,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, head: int = 24, id_col: st
 
     def cut(table: pa.Table) -> pa.Table:
         pack = _with_flags(table, length, head, buckets)
-        answers = table.filter(pa.compute.equal(table["kind"], 2))
+        answers = table.filter(pc.equal(table["kind"], 2))
         change = np.zeros(len(pack.data) + 1, dtype=np.int32)
         # runs of rows that are not the pack's first to have the suffix
         late = pack.smallest[pack.entry] < pack.doc[pack.row]
