@@ -8,7 +8,7 @@ offsets, so only suffixes at anchors need be sorted, about one in fourteen.
 1. Each pack of documents (a hash of the row decides) sends the hashes of its anchors' heads,
    each once; what comes back is a bit for each, set if the head stands in several documents.
 2. For those, the pack sends the suffix and what stands before it, as far as the strings of the
-   anchor reach; equal ones once, with their smallest id. Sampled splitters range-partition
+   anchor reach; equal ones once, with their smallest id. Splitters sampled from a few packs range-partition
    them by their leading ``head`` bytes. Each bucket is sorted by a multikey quicksort (eight
    bytes are a key; only ties go on to the next), and neighbours' common prefixes give the
    groups of equal strings and the smallest id in each. A splitter never parts suffixes with
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .shared import checkpointed, partitions, release
 
-SLICE = 1 << 21
+SLICE = 1 << 19
 POSITION = np.uint64((1 << 22) - 1)
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -45,19 +45,23 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def _head_hashes(data: np.ndarray, head: int) -> np.ndarray:
-    """A hash of the ``head`` bytes from each position, by doubling."""
-    powers, have, n = {1: data.astype(np.uint64) + np.uint64(1)}, 1, len(data)
+    """A hash of the ``head`` bytes from each position: polynomials of 1, 2, 4 ... bytes, put together by the bits of ``head``."""
+    size, base, h = 1, MIX[1], data.astype(np.uint64)
+    out, width = None, 0
     with np.errstate(over="ignore"):
-        while 2 * have <= head:
-            h = powers[have]
-            powers[2 * have] = _mixed(h[: len(h) - have] * MIX[1] + h[have:])
-            have *= 2
-        out, at = powers[have], have
-        for size in sorted((s for s in powers if head & s and s < have), reverse=True):
-            m = n - at - size + 1
-            out = _mixed(out[:m] * MIX[1] + powers[size][at : at + m])
-            at += size
-    return out
+        while True:
+            if head & size:
+                if out is None:
+                    out, width = h, size
+                else:  # the bytes of ``h`` stand before those of ``out``
+                    n = len(out) - size
+                    out = h[:n] * np.uint64(pow(int(MIX[1]), width, 1 << 64)) + out[size:]
+                    width += size
+            if 2 * size > head:
+                return _mixed(out)
+            h = h[: len(h) - size] * base + h[size:]
+            base = base * base
+            size *= 2
 
 
 def _sliding(x: np.ndarray, width: int) -> np.ndarray:
@@ -82,8 +86,10 @@ def anchored(data: np.ndarray, ends: np.ndarray, length: int, head: int) -> tupl
         low = (h & ~POSITION) | np.arange(len(h), dtype=np.uint64)
         best = (_sliding(low, length - head + 1) & POSITION).astype(np.int64)
         start = np.arange(len(best), dtype=np.int64)
-        row = np.searchsorted(ends, start + x, side="right")
-        ok = start + x + length <= ends[row]
+        from_, to = np.searchsorted(ends, [x, x + len(best) - 1], side="right")
+        edges = np.concatenate([[x], np.minimum(ends[from_ : to + 1], x + len(best))])
+        row = np.repeat(np.arange(from_, to + 1), np.diff(edges))
+        ok = start + (x + length) <= ends[row]
         start, best, row = start[ok], best[ok], row[ok]
         if not len(start):
             continue
@@ -184,15 +190,22 @@ class Pack:
         keep = shared[np.searchsorted(np.unique(self.hash), self.hash)] if len(self.hash) else np.zeros(0, bool)
         self.row, self.anchor, self.first, self.last, self.hash = (c[keep] for c in (self.row, self.anchor, self.first, self.last, self.hash))
         back = self.length - self.head
-        n = len(self.row)
-        width = back + self.length
-        at = self.anchor[:, None] - back + np.arange(width)
-        inside = (at >= self.first[:, None]) & (at < (self.last + self.length)[:, None])
-        context = np.where(inside, self.data[np.clip(at, 0, max(0, len(self.data) - 1))] if n else np.zeros((0, width), np.uint8), 0).astype(np.uint8)
-        reach = np.stack([self.anchor - self.last, self.anchor - self.first], axis=1).astype(np.uint8)
-        both = np.ascontiguousarray(np.concatenate([context, reach], axis=1))
-        rows, self.entry = np.unique(both.view(f"V{width + 2}").ravel(), return_inverse=True) if n else (both, np.zeros(0, np.int64))
-        self.entries = rows.view(np.uint8).reshape(-1, width + 2)
+        n, width = len(self.row), back + self.length
+        padded = np.concatenate([np.zeros(back, np.uint8), self.data, np.zeros(self.length, np.uint8)])
+        both = np.zeros((n, width + 2 + -(width + 2) % 8), dtype=np.uint8)
+        both[:, :width] = np.lib.stride_tricks.sliding_window_view(padded, width)[self.anchor]
+        column = np.arange(width, dtype=np.uint8)
+        both[:, :width] *= column >= (self.first - self.anchor + back).astype(np.uint8)[:, None]
+        both[:, :width] *= column < (self.last - self.anchor + width).astype(np.uint8)[:, None]
+        both[:, width], both[:, width + 1] = self.anchor - self.last, self.anchor - self.first
+        words, h = both.view(np.uint64), np.zeros(n, dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(words.shape[1]):
+                h = _mixed(h * MIX[1] + words[:, k])
+        _, one, self.entry = np.unique(h, return_index=True, return_inverse=True)
+        if not np.array_equal(words[one][self.entry], words):  # two with one hash
+            _, one, self.entry = np.unique(words, axis=0, return_index=True, return_inverse=True)
+        self.entries = both[one, : width + 2]
         self.smallest = np.full(len(self.entries), np.iinfo(np.int64).max)
         np.minimum.at(self.smallest, self.entry, self.doc[self.row])
 
@@ -226,8 +239,12 @@ def _routed(frame: DataFrame, **columns) -> DataFrame:
     return frame.select(*(columns.get(n, F.lit(None)).cast(t).alias(n) for n, t in names))
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, head: int = 24, id_col: str = "doc_id", text_col: str = "text", pack_bytes: int = 16 << 20) -> DataFrame:
-    """(id, spans, kept): removed byte spans [start, end), maximal and in order, and the bytes that are left."""
+def remove_repeats(docs: DataFrame, length: int = 50, head: int = 24, id_col: str = "doc_id", text_col: str = "text", pack_bytes: int = 6 << 20, sample_packs: int = 8) -> DataFrame:
+    """(id, spans, kept): removed byte spans [start, end), maximal and in order, and the bytes that are left.
+
+    Splitters come from the suffixes of ``sample_packs`` packs, 1,000 of each; they bear on the
+    buckets' sizes alone.
+    """
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
     packs = max(partitions(docs), -(-total // pack_bytes))
@@ -260,11 +277,25 @@ def remove_repeats(docs: DataFrame, length: int = 50, head: int = 24, id_col: st
     flags = _routed(flags, j=c("j"), kind=F.lit(1), a=c("a"), bytes=c("bytes"))
     release(spark)
 
+    def heads_of(entries: np.ndarray) -> np.ndarray:
+        return np.ascontiguousarray(entries[:, length - head : length]).view(f"S{head}").ravel()
+
+    def sample(table: pa.Table) -> pa.Table:
+        entries = _with_flags(table, length, head, buckets).entries
+        some = heads_of(entries[:: max(1, len(entries) // 1000)])[:1000]
+        return pa.table({"head": pa.array(some.tolist(), pa.binary())})
+
+    both = own.unionByName(flags)
+    every = max(1, packs // sample_packs)
+    heads = sorted(r[0] for r in both.filter((F.col("j") % every == 0) & (F.col("j") < every * sample_packs)).groupBy("j").applyInArrow(sample, "head binary").collect())
+    splitters = np.array(heads[:: max(1, len(heads) // buckets)][1:buckets], dtype=f"S{head}")
+
     def send_suffixes(table: pa.Table) -> pa.Table:
         pack = _with_flags(table, length, head, buckets)
         n = len(pack.entries)
+        bucket = np.searchsorted(splitters, heads_of(pack.entries), side="right") if n else np.zeros(0, np.int64)
         rows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * length - head + 2), n, [None, pa.py_buffer(np.ascontiguousarray(pack.entries).tobytes())]).cast(pa.binary())
-        return _columns(table["j"][0].as_py(), n, a=pa.array(np.arange(n), pa.int64()), doc=pa.array(pack.smallest, pa.int64()), bytes=rows)
+        return _columns(table["j"][0].as_py(), n, a=pa.array(np.arange(n), pa.int64()), b=pa.array(bucket, pa.int32()), doc=pa.array(pack.smallest, pa.int64()), bytes=rows)
 
     def sort_bucket(batches):
         batches = [b for b in batches if b.num_rows]
@@ -288,8 +319,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, head: int = 24, id_col: st
         out = pa.table({"j": j[r], "a": a[r], "b": pa.array(b, pa.int32()), "c": pa.array(e, pa.int32()), "doc": least[r, b]})
         yield from out.to_batches(max_chunksize=100_000)
 
-    suffixes = own.unionByName(flags).groupBy("j").applyInArrow(send_suffixes, "j long, a long, doc long, bytes binary")
-    ranged = suffixes.repartitionByRange(packs, F.substring("bytes", length - head + 1, head))
+    suffixes = both.groupBy("j").applyInArrow(send_suffixes, "j long, a long, b int, doc long, bytes binary")
+    ranged = suffixes.repartitionById(buckets, F.col("b")).drop("b")
     found = checkpointed(ranged.mapInArrow(sort_bucket, "j long, a long, b int, c int, doc long"))
     found = _routed(found, j=c("j"), kind=F.lit(2), a=c("a"), b=c("b"), c=c("c"), doc=c("doc"))
     release(spark)
@@ -324,4 +355,4 @@ def remove_repeats(docs: DataFrame, length: int = 50, head: int = 24, id_col: st
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         return pa.table({"id": pack.ids, "spans": pa.array(spans, kind), "kept": pa.array(kept, pa.binary())})
 
-    return own.unionByName(flags).unionByName(found).groupBy("j").applyInArrow(cut, "id long, spans array<struct<start:bigint,`end`:bigint>>, kept binary")
+    return both.unionByName(found).groupBy("j").applyInArrow(cut, "id long, spans array<struct<start:bigint,`end`:bigint>>, kept binary")
