@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,19 +23,27 @@ def checkpointed(df: DataFrame) -> DataFrame:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weftlink-checkpoint-"))
-    return df.checkpoint(eager=True)
+    with _cleaned_up(spark):
+        return df.select("*").checkpoint(eager=True)  # a new frame, so that the setting holds for it
 
 
-def partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
+@contextlib.contextmanager
+def _cleaned_up(spark: SparkSession):
+    """Frames made meanwhile drop their shuffle files when an action on them ends: what was checkpointed doesn't need them."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop shuffle files of finished phases whose frames are gone (it does so when garbage is collected)."""
-    import gc
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def row_key(id_col: str, text_col: str):

@@ -29,10 +29,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import checkpointed, partitions, release
+from .shared import checkpointed, partitions
 
 SLICE = 1 << 19
 POSITION = np.uint64((1 << 22) - 1)
@@ -245,7 +246,6 @@ def remove_repeats(docs: DataFrame, length: int = 50, head: int = 24, id_col: st
     Splitters come from the suffixes of ``sample_packs`` packs, 1,000 of each; they bear on the
     buckets' sizes alone.
     """
-    spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
     packs = max(partitions(docs), -(-total // pack_bytes))
     buckets = packs
@@ -275,7 +275,6 @@ def remove_repeats(docs: DataFrame, length: int = 50, head: int = 24, id_col: st
     sent = own.groupBy("j").applyInArrow(send_heads, "j long, b long, heads binary, several binary")
     flags = checkpointed(sent.groupBy("b").applyInArrow(share, "j long, a long, bytes binary"))
     flags = _routed(flags, j=c("j"), kind=F.lit(1), a=c("a"), bytes=c("bytes"))
-    release(spark)
 
     def heads_of(entries: np.ndarray) -> np.ndarray:
         return np.ascontiguousarray(entries[:, length - head : length]).view(f"S{head}").ravel()
@@ -294,18 +293,27 @@ def remove_repeats(docs: DataFrame, length: int = 50, head: int = 24, id_col: st
         pack = _with_flags(table, length, head, buckets)
         n = len(pack.entries)
         bucket = np.searchsorted(splitters, heads_of(pack.entries), side="right") if n else np.zeros(0, np.int64)
-        rows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * length - head + 2), n, [None, pa.py_buffer(np.ascontiguousarray(pack.entries).tobytes())]).cast(pa.binary())
-        return _columns(table["j"][0].as_py(), n, a=pa.array(np.arange(n), pa.int64()), b=pa.array(bucket, pa.int32()), doc=pa.array(pack.smallest, pa.int64()), bytes=rows)
+        by = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
+        full = np.flatnonzero(np.diff(edges))
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        blobs = [squeeze(pack.entries[own].tobytes() + own.astype("<i8").tobytes() + pack.smallest[own].tobytes()) for own in (by[edges[b] : edges[b + 1]] for b in full)]
+        return _columns(table["j"][0].as_py(), len(full), b=pa.array(full, pa.int32()), bytes=pa.array(blobs, pa.binary()))
 
     def sort_bucket(batches):
         batches = [b for b in batches if b.num_rows]
         if not batches:
             return
-        table = pa.Table.from_batches(batches)
-        rows = np.frombuffer(b"".join(table["bytes"].to_pylist()), dtype=np.uint8).reshape(table.num_rows, -1)
-        low, high, doc = rows[:, -2], rows[:, -1], table["doc"].to_numpy()
-        j, a = table["j"].to_numpy(), table["a"].to_numpy()
-        least = np.full((table.num_rows, length - head + 1), np.iinfo(np.int64).max)
+        width, parts = 2 * length - head + 2, []
+        for batch in batches:
+            for j, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
+                n = len(raw) // (width + 16)
+                own, doc = raw[n * width :].view(np.int64).reshape(2, n)
+                parts.append((raw[: n * width].reshape(n, width), np.full(n, j), own, doc))
+        rows, j, a, doc = (np.concatenate(c) for c in zip(*parts))
+        low, high = rows[:, -2], rows[:, -1]
+        least = np.full((len(rows), length - head + 1), np.iinfo(np.int64).max)
         for offset, at, value in smallest(rows[:, :-2], low, high, doc, length, head):
             least[at, offset] = value
         least[least >= doc[:, None]] = np.iinfo(np.int64).max
@@ -319,11 +327,10 @@ def remove_repeats(docs: DataFrame, length: int = 50, head: int = 24, id_col: st
         out = pa.table({"j": j[r], "a": a[r], "b": pa.array(b, pa.int32()), "c": pa.array(e, pa.int32()), "doc": least[r, b]})
         yield from out.to_batches(max_chunksize=100_000)
 
-    suffixes = both.groupBy("j").applyInArrow(send_suffixes, "j long, a long, b int, doc long, bytes binary")
-    ranged = suffixes.repartitionById(buckets, F.col("b")).drop("b")
+    suffixes = both.groupBy("j").applyInArrow(send_suffixes, "j long, b int, bytes binary")
+    ranged = suffixes.repartitionById(buckets, F.col("b")).select("j", "bytes")
     found = checkpointed(ranged.mapInArrow(sort_bucket, "j long, a long, b int, c int, doc long"))
     found = _routed(found, j=c("j"), kind=F.lit(2), a=c("a"), b=c("b"), c=c("c"), doc=c("doc"))
-    release(spark)
 
     def cut(table: pa.Table) -> pa.Table:
         pack = _with_flags(table, length, head, buckets)
