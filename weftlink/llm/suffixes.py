@@ -168,7 +168,8 @@ class Pack:
 
     def __init__(self, table: pa.Table, length: int, head: int):
         self.length, self.head = length, head
-        docs = table.filter(pc.equal(table["kind"], 0)).select(["id", "text"]).combine_chunks()
+        docs = table.filter(pc.equal(table["kind"], 0)).select(["id", "text"])
+        docs = docs.sort_by([("id", "ascending"), ("text", "ascending")]).combine_chunks()  # the same runs each time, however the rows arrive
         self.ids = docs["id"]
         texts = [(t or "").encode() for t in docs["text"].to_pylist()]
         self.ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
