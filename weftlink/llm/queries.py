@@ -74,4 +74,14 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_decontaminate, op3_pseudonyms, op4_bpe, op5_secrets, op6_quality, op7_lines, op8_chat, op9_suffixes, op10_shards)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_chat": r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+e AS (SELECT *, replace(replace(replace(role, '\', '\0'), '<|', '<\1'), chr(10), '\2') AS r, replace(replace(text, '\', '\0'), '<|', '<\1') AS t FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|im_start|>') + length(r) + 1 + length(t) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id""",
+}
