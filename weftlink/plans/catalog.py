@@ -132,7 +132,7 @@ def target_rarity_totals(spark, sf_dir):
 def query_rare_tokens(spark, sf_dir):
     v = Views(spark, sf_dir)
     rows = blocking.token_rows(v.s1.withColumnRenamed("entity_id", "source1_entity_id"), "source1_entity_id")
-    return blocking.query_tokens(rows, v.index.idf).filter(F.col("rank") <= blocking.PROBES).select("source1_entity_id", "field", "token", R("idf"), R("total"), "rank")
+    return blocking.query_tokens(rows, v.index.idf).filter(F.col("rank") <= blocking.PROBES).select("source1_entity_id", "field", "token", R("idf"), R("total"), F.col("rank").cast("long"))
 
 
 def _field(spark, sf_dir, field):
@@ -156,7 +156,7 @@ def address_candidates(spark, sf_dir):
 
 @query(BASE + "SELECT source1_entity_id, entity_id, round(score, 6) AS score, rank FROM ranked")
 def blocked_candidates(spark, sf_dir):
-    return Views(spark, sf_dir).ranked().select("source1_entity_id", "entity_id", R("score"), "rank")
+    return Views(spark, sf_dir).ranked().select("source1_entity_id", "entity_id", R("score"), F.col("rank").cast("long"))
 
 
 @query(BASE + "SELECT e.entity_id AS source1_entity_id, coalesce(string_agg(r.entity_id, ',' ORDER BY r.rank), '') AS candidate_entity_ids FROM e LEFT JOIN ranked r ON r.source1_entity_id = e.entity_id WHERE e.source = 1 GROUP BY e.entity_id")
@@ -197,7 +197,7 @@ def _matches(v: Views) -> DataFrame:
 
 @query(BASE + GRAMS + "SELECT source1_entity_id, entity_id, round(probability, 6) AS score, place FROM m")
 def matches_topk(spark, sf_dir):
-    return _matches(Views(spark, sf_dir)).select("source1_entity_id", "entity_id", F.round("probability", 6).alias("score"), "place")
+    return _matches(Views(spark, sf_dir)).select("source1_entity_id", "entity_id", F.round("probability", 6).alias("score"), F.col("place").cast("long"))
 
 
 @query(BASE + GRAMS + "SELECT e.entity_id AS source1_entity_id, coalesce(string_agg(m.entity_id, ',' ORDER BY m.place), '') AS matched_entity_ids FROM e LEFT JOIN m ON m.source1_entity_id = e.entity_id WHERE e.source = 1 GROUP BY e.entity_id")
@@ -250,10 +250,10 @@ def null_scrub(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", N.clean_base(F.col("text")).alias("text"))
 
 
-@query(r"SELECT page_id, regexp_replace(regexp_replace(url, 'https?://\S+|www\.\S+', '', 'g'), '(?i)\b([a-z0-9_-]+)\.(?:com|in|org|net|co|io|gov|edu|fr)\b', '\1', 'g') AS text, regexp_replace(substring(html, 1, 200), 'https?://\S+|www\.\S+', '', 'g') AS html FROM pages")
+@query(r"SELECT page_id, regexp_replace(regexp_replace(url, 'https?://\S+|www\.\S+', '', 'g'), '(?i)\b([a-z0-9_-]+)\.(?:com|in|org|net|co|io|gov|edu|fr)\b', '\1', 'g') AS text, regexp_replace(html, 'https?://\S+|www\.\S+', '', 'g') AS html FROM pages")
 def strip_urls(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return pages.select("page_id", N.without_urls(F.col("url")).alias("text"), F.regexp_replace(F.substring("html", 1, 200), r"https?://\S+|www\.\S+", "").alias("html"))
+    return pages.select("page_id", N.without_urls(F.col("url")).alias("text"), F.regexp_replace("html", r"https?://\S+|www\.\S+", "").alias("html"))
 
 
 @query(r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(lower(text), '\b(\d+)(?:st|nd|rd|th)\b', '\1', 'g'), '[^a-z0-9\s]', ' ', 'g'), '\b0+(\d+)\b', '\1', 'g') AS text FROM documents")
