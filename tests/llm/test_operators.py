@@ -103,6 +103,15 @@ def test_decontamination_matches_brute_force(spark, block):
     assert decontaminate.hits(docs(spark, []), bench).count() == 0
 
 
+def test_decontamination_words():
+    rng = random.Random(5)
+    for _ in range(500):
+        text = "".join(rng.choice([chr(rng.randrange(128)), chr(rng.randrange(300)), rng.choice("aZ09é\x85\xa0\u3000İ中😀")]) for _ in range(rng.randrange(40)))
+        want = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate({c: c + 32 for c in range(65, 91)}))
+        assert decontaminate.words(text) == [w.encode() for w in want]
+    assert decontaminate.words(None) == decontaminate.words("") == []
+
+
 def test_pseudonyms(spark):
     text = "a@b.example 4111111111111111 4111-1111-1111-1111 4111111111111112 2020-02-29 29/02/2020 2021-02-30 123-45-6789 000-12-3456 +1 (017) 555-7713 10.0.0.1 300.1.1.1"
     rows = pii.pseudonymize(docs(spark, [(1, text), (2, "x 4111111111111111 y"), (3, None), (4, ""), (5, "nothing here"), (6, LONG)]), "k").collect()
