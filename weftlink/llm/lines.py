@@ -129,7 +129,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spans = later_copies(lines, min_words).groupBy("o", "k").agg(F.collect_list(F.struct("i", "m")).alias("__runs"))
     spans = checkpointed(spans)
     own = docs.withColumns({"__o": F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), "__k": row_key(id_col, text_col)})
-    marked = own.join(spans, (F.col("__o") == F.col("o")) & (F.col("__k") == F.col("k")), "left").select(*docs.columns, "__runs")
+    found = spans.withColumnsRenamed({"o": "__o", "k": "__k"})
+    marked = own.join(found, ["__o", "__k"], "left").select(*docs.columns, "__runs")
     at, width = docs.columns.index(text_col), len(docs.columns)
     kept = docs.columns
 
