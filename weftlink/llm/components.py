@@ -37,8 +37,8 @@ def components(edges: DataFrame) -> DataFrame:
     """``edges`` (a, b), both not null -> (node, component): the smallest node each node is connected with.
 
     Only nodes that stand in an edge to another node are returned. Both steps aggregate a minimum
-    (combined on the map side) and join it back, so that a hub's edges are never gathered in one
-    task; the rounds needed grow with the logarithm of the size of a component.
+    (combined on the map side) and join it back: a hub's edges stream through one task's sort-merge
+    join, but are never held there; the rounds needed grow with the logarithm of the size of a component.
     """
     now = checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct())
     sign = _sign(now)
