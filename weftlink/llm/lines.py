@@ -4,7 +4,8 @@ The corpus is a sequence of line ids for each document (lines without a word lef
 are ranked by distributed prefix doubling: the rank of the first 2h lines is made of the ranks
 of the first h and of the h that follow, and is named by the first position that has it
 (documents in order of id). Only suffixes that begin with lines that occur again take part, and
-a rank that a single position has drops out, so each round is smaller than the last.
+a rank that a single position has drops out, so each round is smaller than the last. A line of
+very many positions is dealt over several tasks.
 
 A run of lines counts if it has ``min_words`` words or more. Suffixes whose first m lines agree
 are an interval of the suffix array with a common prefix of m at least; two ranks, of the first
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import checkpointed, row_key
+from .shared import checkpointed, joined_back, row_key
 
 LAST = (1 << 63) - 1
 
@@ -85,15 +86,15 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> D
     return own.mapInArrow(run, "o long, k long, i long, h1 long, h2 long, runs array<int>")
 
 
-def _first(frame: DataFrame, keys: list[str]) -> DataFrame:
-    """``frame`` with ``r``, the first position among rows with equal keys; rows whose keys no other row has are left out."""
-    low = frame.groupBy(*keys).agg(F.min(F.struct("o", "k", "i")).alias("r"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return frame.join(low, keys)
+def _first(frame: DataFrame, keys: list[str], rows: int | None = None) -> DataFrame:
+    """``frame`` with ``r``, the first position among rows with equal keys; rows whose keys no other row has are left out. ``rows``, where hot keys are to be dealt: how many there are."""
+    low = frame.groupBy(*keys).agg(F.min(F.struct("o", "k", "i")).alias("r"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return frame.join(low.drop("n"), keys) if rows is None else joined_back(frame, checkpointed(low), keys, rows, ["o", "k", "i"])
 
 
 def later_copies(lines: DataFrame, min_words: int) -> DataFrame:
     """(o, k, i, m): runs of m lines from line i on that also stand at an earlier position."""
-    level = checkpointed(_first(lines, ["h1", "h2"]).select("o", "k", "i", "r", "runs").distinct())
+    level = checkpointed(_first(lines, ["h1", "h2"], lines.count()).select("o", "k", "i", "r", "runs").distinct())
     runs = level.select("o", "k", "i", F.explode("runs").alias("m"))
     rank, out, size = level.select("o", "k", "i", "r"), None, 1
     while True:
