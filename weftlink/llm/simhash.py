@@ -14,6 +14,7 @@ if they have none); repeated rows give repeated results; other columns are not r
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -28,23 +29,27 @@ from .shared import checkpointed
 SEED = 42
 
 
-def fingerprint(text: str | None, words: int = 4) -> int:
-    """The 64-bit SimHash of the shingles of ``words`` words, over the whole text."""
-    if not text:
-        return 0
-    parts = text.encode().lower().split()  # bytes: A-Z only, and the six ASCII white-space characters
+def hashes(text: str | None, words: int) -> Iterator[np.ndarray]:
+    """The hashes of the shingles of ``words`` words, over the whole text, in pieces; nothing for a wordless text."""
+    parts = text.encode().lower().split() if text else []  # bytes: A-Z only, and the six ASCII white-space characters
     if not parts:
-        return 0
+        return
     joined = b" ".join(parts)
     ends = list(accumulate((len(p) + 1 for p in parts)))
     starts = [0, *ends[:-1]]
     width = min(words, len(parts))
     n = len(parts) - width + 1
-    ones = np.zeros(64, dtype=np.int64)
     digest = xxhash.xxh64_intdigest
     for at in range(0, n, 1 << 16):
         to = min(n, at + (1 << 16))
-        h = np.array([digest(joined[s : e - 1], SEED) for s, e in zip(starts[at:to], ends[at + width - 1 : to + width - 1])], dtype="<u8")
+        yield np.array([digest(joined[s : e - 1], SEED) for s, e in zip(starts[at:to], ends[at + width - 1 : to + width - 1])], dtype="<u8")
+
+
+def fingerprint(text: str | None, words: int = 4) -> int:
+    """The 64-bit SimHash of the shingles of ``words`` words."""
+    n, ones = 0, np.zeros(64, dtype=np.int64)
+    for h in hashes(text, words):
+        n += len(h)
         ones += np.add.reduce(np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
@@ -133,19 +138,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, fp, component): each row's fingerprint and the smallest id reachable over links of up to ``distance`` bits."""
     prints = checkpointed(fingerprints(docs, id_col, text_col, words))
     members = prints.groupBy("fp").agg(F.min("id").alias("rep"))
+    return named(prints, members, hamming_links(members.filter("rep is not null"), distance, agree), "fp")
+
+
+def named(prints: DataFrame, members: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """(id, key, component) of ``prints``, whose ``key`` has ``rep`` in ``members``; ``edges`` (a, b) link reps."""
     # ids that stand on several rows with different texts join these texts: the row's id is the node
-    ties = prints.filter("id is not null").groupBy("id").agg(F.min("fp").alias("one"), F.max("fp").alias("other")).filter("one <> other").select("id")
-    multi = prints.join(ties, "id", "left_semi").join(members, "fp").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    known = members.filter("rep is not null")
-    edges = hamming_links(known, distance, agree).unionByName(multi)
-    grouped = components(edges).withColumnsRenamed({"node": "rep", "component": "found"})
-    named = members.join(grouped, "rep", "left").select("fp", F.coalesce("found", "rep").alias("component"))
-    return prints.join(named, "fp", "left").select("id", "fp", "component")
+    ties = prints.filter("id is not null").groupBy("id").agg(F.min(key).alias("one"), F.max(key).alias("other")).filter("one <> other").select("id")
+    multi = prints.join(ties, "id", "left_semi").join(members, key).select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    grouped = components(edges.unionByName(multi)).withColumnsRenamed({"node": "rep", "component": "found"})
+    found = members.join(grouped, "rep", "left").select(key, F.coalesce("found", "rep").alias("component"))
+    return prints.join(found, key, "left").select("id", key, "component")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, distance: int = 4, agree: int = 3) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id (of rows that share it one; of rows without any id, all stay)."""
-    found = near_duplicates(docs, id_col, text_col, words, distance, agree)
+    return kept(docs, near_duplicates(docs, id_col, text_col, words, distance, agree), id_col)
+
+
+def kept(docs: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` with one row of each component of ``found`` (id, component)."""
     gone = checkpointed(found.filter("component < id").select(F.col("id").alias("__id")).distinct())
     left = docs.join(gone, docs[id_col] == F.col("__id"), "left_anti")
     twice = checkpointed(found.filter("component = id").groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("id").alias("__id")))
