@@ -47,6 +47,8 @@ TABLE = _classes()
 #: A-Z in lower case; ASCII marks and symbols as spaces, so that "the," counts as "the".
 PLAIN = bytes(b + 32 if 65 <= b <= 90 else 32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
 N_CLASSES, N_WORDS = len(CLASSES), len(WORDS)
+#: The limit on common words for the shared reference.
+SHARED = 0.6
 
 
 def histograms(raw: bytes) -> tuple[np.ndarray, np.ndarray, int]:
@@ -126,25 +128,41 @@ def _with_rest(common: np.ndarray, words: int) -> np.ndarray:
 class Judge:
     """Verdicts against references."""
 
-    def __init__(self, references: dict, max_classes: float, max_words: float, min_chars: int, min_words: int):
+    def __init__(self, references: dict, max_classes: float, max_words: float | None, min_chars: int, min_words: int):
         self.langs = list(references)
         self.classes = np.array([references[k][0] for k in self.langs], dtype=float).reshape(-1, N_CLASSES)
         self.words = np.array([references[k][1] for k in self.langs], dtype=float).reshape(-1, N_WORDS + 1)
-        self.max_classes, self.max_words, self.min_chars, self.min_words = max_classes, max_words, min_chars, min_words
-
-    def distances(self, text: str, lang: str | None) -> tuple[float, float]:
-        """From the language's own reference, or the nearest if it has none; 0 for a text under the minimum length."""
+        self.max_classes, self.min_chars, self.min_words = max_classes, min_chars, min_words
+        self.limits = np.array([self._limit(i) if max_words is None else max_words for i in range(len(self.langs))])
+        self.least = np.array([self._least(i) if max_words is None and lang else min_words for i, lang in enumerate(self.langs)])
+
+    def _limit(self, i: int) -> float:
+        """Below the distance of a text without common words and of every other language."""
+        if not self.langs[i]:
+            return SHARED
+        none = _with_rest(np.zeros(N_WORDS), 1)
+        others = [x for j, x in enumerate(self.words) if j != i and self.langs[j] and x.sum()]
+        return 0.95 * float(distances(self.words[i], np.array([none, *others])).min())
+
+    def _least(self, i: int, most: int = 2000) -> float:
+        """The length from which texts drawn from the reference are within its limit; infinite if there is none."""
+        p, rng = self.words[i] / max(1, self.words[i].sum()), np.random.default_rng(i)
+        for n in range(self.min_words, most, 5) if p.sum() else ():
+            if np.quantile(distances(self.words[i], rng.multinomial(n, p, size=1000).astype(float)), 0.999) < self.limits[i]:
+                return n
+        return np.inf
+
+    def judged(self, text: str, lang: str | None) -> tuple[float, float, bool]:
+        """Distances from the language's own reference, or the nearest if it has none, and whether the text is kept; a text under the minimum length is 0 away."""
         classes, common, n = histograms(text.encode())
         own = [self.langs.index(lang)] if lang in self.langs and lang else list(range(len(self.langs)))
         c = float(distances(classes.astype(float), self.classes[own]).min()) if own and classes.sum() >= self.min_chars else 0.0
-        w = float(distances(_with_rest(common, n).astype(float), self.words[own]).min()) if own and n >= self.min_words else 0.0
-        return c, w
-
-    def keeps(self, c: float, w: float) -> bool:
-        return c <= self.max_classes and w <= self.max_words
+        far = np.where(n >= self.least[own], distances(_with_rest(common, n).astype(float), self.words[own]), 0.0) if own else np.zeros(1)
+        near = not own or bool((far <= self.limits[own]).any())
+        return c, float(far.min()), c <= self.max_classes and near
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", max_classes: float = 0.3, max_words: float = 0.6, min_chars: int = 200, min_words: int = 50) -> DataFrame:
+def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", max_classes: float = 0.3, max_words: float | None = None, min_chars: int = 200, min_words: int = 50) -> DataFrame:
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept)."""
     judge = Judge(language_references(docs, text_col, lang_col), max_classes, max_words, min_chars, min_words)
     lang = F.col(lang_col) if lang_col else F.lit(None).cast("string")
@@ -156,8 +174,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
             for text, lang in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 base = base_counts(text or "")
                 bad = failed(base["n_words"], base["n_repeat_words"])
-                c, w = judge.distances(text or "", lang)
-                rows.append((*base.values(), bad, c, w, not bad and judge.keeps(c, w)))
+                c, w, kept = judge.judged(text or "", lang)
+                rows.append((*base.values(), bad, c, w, not bad and kept))
             columns = list(zip(*rows)) or [()] * 9
             kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, k) for x, k in zip(columns, kinds))], names=["id", *longs, "base_failed", "class_distance", "word_distance", "kept"])
@@ -166,7 +184,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), lang.alias("lang")).mapInArrow(run, schema)
 
 
-def filter_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_classes: float = 0.3, max_words: float = 0.6, min_chars: int = 200, min_words: int = 50) -> DataFrame:
+def filter_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_classes: float = 0.3, max_words: float | None = None, min_chars: int = 200, min_words: int = 50) -> DataFrame:
     """The rows that are kept, with all their columns, in one more pass and without a shuffle."""
     judge = Judge(language_references(docs, text_col, lang_col), max_classes, max_words, min_chars, min_words)
     at, lang_at = docs.columns.index(text_col), docs.columns.index(lang_col)
@@ -176,7 +194,7 @@ def filter_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
             keep = []
             for text, lang in zip(batch.column(at).to_pylist(), batch.column(lang_at).to_pylist()):
                 base = base_counts(text or "")
-                keep.append(not failed(base["n_words"], base["n_repeat_words"]) and judge.keeps(*judge.distances(text or "", lang)))
+                keep.append(not failed(base["n_words"], base["n_repeat_words"]) and judge.judged(text or "", lang)[2])
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
