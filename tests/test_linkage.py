@@ -150,3 +150,54 @@ def test_hard_negatives_respect_truth_and_country(spark):
     queries = spark.createDataFrame([("q", "US", ["t1"], ["acme", "tools"])], "source1_entity_id string, country string, true_ids array<string>, name_tokens array<string>")
     pool = spark.createDataFrame([("t1", "US", ["acme"]), ("t2", "India", ["acme"]), ("t3", "", ["tools"])], "entity_id string, country string, name_tokens array<string>")
     assert [tuple(r) for r in learn.hard_negatives(queries, pool, "name", 4).collect()] == [("q", "t3")]
+
+
+def test_pairs_of_unknown_queries_and_repeated_ids(spark):
+    s1, s2, s3 = map(normalize, _sources(spark))
+    schema = "entity_id string, business_name string, business_address string, country string"
+    s3 = normalize(spark.createDataFrame([("S2-2", "Other Name", "1 Elm St", "US")], schema)).unionByName(s3)
+    ranked = spark.createDataFrame([("S1-1", "S2-1", 1), ("S1-1", "S2-2", 2), ("nobody", "S2-1", 1), ("S1-1", "none", 3)], "source1_entity_id string, entity_id string, rank int")
+    rows = {(r.source1_entity_id, r.entity_id): r for r in pair_features(matching.pairs(ranked, s1, blocking.target_rows(s2, s3))).collect()}
+    assert set(rows) == {("S1-1", "S2-1"), ("S1-1", "S2-2"), ("nobody", "S2-1")}
+    assert rows["S1-1", "S2-2"].b_name == "other name" and rows["S1-1", "S2-1"].exact_name_match == 1
+    unknown = rows["nobody", "S2-1"]
+    assert (unknown.a_name, unknown.a_country, unknown.a_numbers, unknown.name_tfidf_cosine, unknown.name_levenshtein) == ("", "", [], 0, 0)
+
+
+def test_gram_counts_match_brute_force(spark):
+    from collections import Counter
+
+    from weftlink.functions.similarity import bag
+
+    rng = random.Random(5)
+    texts = ["", "a", "ab", "abc", "aaaa", "é😀é😀é", *("".join(rng.choice("abé ") for _ in range(rng.randrange(60))) for _ in range(200))]
+    for r in spark.createDataFrame([(t,) for t in texts], "t string").withColumn("b", bag(F.col("t"))).collect():
+        want = Counter([r.t[i : i + 3] for i in range(len(r.t) - 2)] or [r.t] * bool(r.t))
+        assert r.b == dict(want), r.t
+
+
+def test_random_negatives_are_one_for_each_positive(spark):
+    queries = spark.createDataFrame([(f"q{i}", [f"t{i}", f"t{i + 1}"]) for i in range(30)], "source1_entity_id string, true_ids array<string>")
+    pool = spark.createDataFrame([(f"t{i}",) for i in range(500)], "entity_id string")
+    got = learn.random_negatives(queries, pool, F.col("true_ids")).collect()
+    assert len(got) >= 55 and len({r.entity_id for r in got}) > 40 and all(r.entity_id not in (f"t{r.source1_entity_id[1:]}",) for r in got)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, learn.random_negatives(queries.repartition(3), pool.repartition(2), F.col("true_ids")).collect()))
+    assert learn.random_negatives(queries, pool.limit(0), F.col("true_ids")).count() == 0
+
+
+def test_a_half_written_cache_is_made_anew(spark, tmp_path):
+    import os
+
+    s1, *_ = _sources(spark)
+    tables.write_tsv(s1.fillna(""), str(tmp_path / "s1"))
+    first = tables.ensure_normalized(spark, str(tmp_path / "s1"), str(tmp_path / "cache"))
+    folder = next((tmp_path / "cache").glob("*.normalized"))
+    for part in [folder / "_SUCCESS", *sorted(folder.glob("part-*"))[1:]]:
+        os.remove(part)
+    assert tables.ensure_normalized(spark, str(tmp_path / "s1"), str(tmp_path / "cache")).count() == s1.count() == 3
+    assert first.columns and tables.exists(spark, str(folder / "_SUCCESS"))
+
+
+def test_load_records_takes_the_last_of_an_id(spark):
+    rows = spark.createDataFrame([("a", "Old Name", "1 St", "US"), ("a", "Zed Name", "1 St", "US"), (" ", "blank", "", "")], "entity_id string, business_name string, business_address string, country string")
+    assert [(r.entity_id, r.norm_name) for r in tables.load_records(rows).collect()] == [("a", "zed name")]

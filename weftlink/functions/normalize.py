@@ -86,7 +86,7 @@ def without_urls(text: Column) -> Column:
 def without_legal_forms(text: Column) -> Column:
     """Legal forms dropped from the end and then from the start, never the last words."""
     forms = "|".join(dicts.LEGAL_FORMS)
-    text = F.regexp_replace(text, rf"^(\S+(?: \S+)*?)(?: (?:{forms}))+$", "$1")
+    text = F.regexp_replace(text, rf"(?<=\S)(?: (?:{forms}))+$", "")
     return F.regexp_replace(text, rf"^(?:(?:{forms}) )+(?=\S)", "")
 
 

@@ -68,16 +68,27 @@ def field_candidates(queries: DataFrame, postings: DataFrame, totals: DataFrame,
 
 
 class Index:
-    """Weights and postings of the targets: ``targets`` (target_row, entity_id, norm_name, norm_address)."""
+    """Weights and postings of the targets: ``targets`` (target_row, entity_id, norm_name, norm_address).
 
-    def __init__(self, targets: DataFrame, max_document_frequency: float = 0.02):
-        self.targets = targets
-        self.count = targets.count()
-        rows = token_rows(targets, "target_row")
+    With ``path``, the tables are written there once and read from there on: for an index that serves many batches of
+    queries, or one that is too large to be made anew for each use.
+    """
+
+    def __init__(self, targets: DataFrame, max_document_frequency: float = 0.02, path: str | None = None):
+        self.path = path
+        self.targets = self._kept("targets", targets.select("target_row", "entity_id", "norm_name", "norm_address"))
+        self.count = self.targets.count()
+        rows = token_rows(self.targets, "target_row")
         self.frequency = document_frequency(rows, self.count, max_document_frequency)
-        self.idf = token_idf(self.frequency, self.count)
-        self.postings = rows.join(self.idf.select("field", "token", "idf"), ["field", "token"])
-        self.totals = target_totals(self.postings)
+        self.idf = self._kept("idf", token_idf(self.frequency, self.count))
+        self.postings = self._kept("postings", rows.join(self.idf.select("field", "token", "idf"), ["field", "token"]))
+        self.totals = self._kept("totals", target_totals(self.postings))
+
+    def _kept(self, name: str, frame: DataFrame) -> DataFrame:
+        if self.path is None:
+            return frame
+        frame.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        return frame.sparkSession.read.parquet(f"{self.path}/{name}")
 
     def candidates(self, queries: DataFrame, name_threshold: float = 0.18, address_threshold: float = 0.18, top_k_per_field: int = 50, max_candidates: int = 100) -> DataFrame:
         """(source1_entity_id, entity_id, score, rank)."""

@@ -6,6 +6,7 @@ Sampling is by seeded hashes of ids, so it doesn't depend on the order or number
 from __future__ import annotations
 
 import json
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -14,12 +15,26 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import FEATURES, pair_features
+from ..functions.normalize import tokens
+from ..functions.similarity import FEATURES, pair_features, profile
 from . import metrics
+from .matching import last_by_id
 
 POOL_STEP, POOL_CAP, PER_TOKEN, TOKEN_LENGTH = 150, 40_000, 15, 3  # fixed values
 
 
+class Trained(NamedTuple):
+    model: PipelineModel
+    threshold: float
+    sweep: DataFrame
+    report: DataFrame
+
+
+def with_tokens(records: DataFrame) -> DataFrame:
+    """``records`` (norm_name, norm_address, ...) with name_tokens and addr_tokens, each token once."""
+    return records.withColumns({f"{f}_tokens": F.array_distinct(tokens(F.coalesce(c, F.lit("")))) for f, c in (("name", "norm_name"), ("addr", "norm_address"))})
+
+
 def split(queries: DataFrame, validation: float = 0.2, seed: int = 42, id_col: str = "source1_entity_id") -> DataFrame:
     """``queries`` with is_validation."""
     return queries.withColumn("is_validation", F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1_000_000)) < int(validation * 1_000_000))
@@ -50,12 +65,14 @@ def hard_negatives(queries: DataFrame, pool: DataFrame, field: str, most: int =
     return first.withColumn("n", F.row_number().over(Window.partitionBy("source1_entity_id").orderBy("order", "entity_id"))).filter(F.col("n") <= most).select("source1_entity_id", "entity_id")
 
 
-def random_negatives(queries: DataFrame, pool: DataFrame, each: int = 1, seed: int = 42, buckets: int = 1024) -> DataFrame:
-    """(source1_entity_id, entity_id): pool records in the query's hash bucket."""
-    n = Window.partitionBy("bucket").orderBy(F.xxhash64("entity_id", F.lit(seed)))
-    dealt = pool.select("entity_id", F.pmod(F.xxhash64("entity_id", F.lit(seed + 1)), F.lit(buckets)).alias("bucket")).withColumn("n", F.row_number().over(n)).filter(F.col("n") <= each)
-    asked = queries.select("source1_entity_id", "true_ids", F.pmod(F.xxhash64("source1_entity_id", F.lit(seed + 2)), F.lit(buckets)).alias("bucket"))
-    return asked.join(dealt, "bucket").filter(~F.array_contains("true_ids", F.col("entity_id"))).select("source1_entity_id", "entity_id")
+def random_negatives(queries: DataFrame, pool: DataFrame, draws, seed: int = 42) -> DataFrame:
+    """(source1_entity_id, entity_id): a pool record for each of the strings ``draws``, an array column; none where a true one is drawn."""
+    numbered = pool.select("entity_id", (F.row_number().over(Window.orderBy("entity_id")) - 1).cast("long").alias("at"))  # at most POOL_CAP rows
+    size = pool.count()
+    if not size:
+        return queries.select("source1_entity_id", F.lit("").alias("entity_id")).limit(0)
+    drawn = queries.select("source1_entity_id", "true_ids", F.explode(draws).alias("draw")).withColumn("at", F.pmod(F.xxhash64("source1_entity_id", "draw", F.lit(seed)), F.lit(size)))
+    return drawn.join(numbered, "at").filter(~F.array_contains("true_ids", F.col("entity_id"))).select("source1_entity_id", "entity_id")
 
 
 def training_pairs(queries: DataFrame, pool: DataFrame, seed: int = 42) -> DataFrame:
@@ -64,14 +81,13 @@ def training_pairs(queries: DataFrame, pool: DataFrame, seed: int = 42) -> DataF
     size = queries.select("source1_entity_id", F.greatest(F.size("true_ids"), F.lit(0)).alias("n"))
     hard = hard_negatives(queries, pool, "name").unionByName(hard_negatives(queries, pool, "addr")).join(size, "source1_entity_id")
     hard = hard.select("source1_entity_id", "entity_id", F.lit(0.0).alias("label"), F.when(F.col("n") > 0, F.col("n")).otherwise(2).cast("double").alias("weight"))
-    some = queries.filter(F.size("true_ids") > 0)
-    rand = random_negatives(some, pool, seed=seed).withColumns({"label": F.lit(0.0), "weight": F.lit(1.0)})
+    rand = random_negatives(queries, pool, F.col("true_ids"), seed).withColumns({"label": F.lit(0.0), "weight": F.lit(1.0)})
     return positive.unionByName(hard).unionByName(rand)
 
 
 def validation_pairs(queries: DataFrame, pool: DataFrame, seed: int = 42) -> DataFrame:
     """(source1_entity_id, entity_id): true pairs with six address, four name and two random negatives."""
-    parts = [queries.select("source1_entity_id", F.explode("true_ids").alias("entity_id")), hard_negatives(queries, pool, "addr", 6), hard_negatives(queries, pool, "name", 4), random_negatives(queries, pool, 2, seed)]
+    parts = [queries.select("source1_entity_id", F.explode("true_ids").alias("entity_id")), hard_negatives(queries, pool, "addr", 6), hard_negatives(queries, pool, "name", 4), random_negatives(queries, pool, F.array(F.lit("first"), F.lit("second")), seed)]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -79,8 +95,10 @@ def validation_pairs(queries: DataFrame, pool: DataFrame, seed: int = 42) -> Dat
 
 
 def featured(pairs: DataFrame, queries: DataFrame, targets: DataFrame) -> DataFrame:
-    """``pairs`` with features in single precision; ``queries`` and ``targets`` carry profiles a_* and b_*."""
-    both = pair_features(pairs.join(queries, "source1_entity_id").join(targets, "entity_id"))
+    """``pairs`` with features in single precision. Only records that are in a pair are profiled; of targets that share an id the last source's counts."""
+    a = profile(queries.join(pairs.select("source1_entity_id").distinct(), "source1_entity_id", "left_semi").select("source1_entity_id", "norm_name", "norm_address"), "a")
+    b = profile(last_by_id(targets.join(pairs.select("entity_id").distinct(), "entity_id", "left_semi")).select("entity_id", "norm_name", "norm_address"), "b")
+    both = pair_features(pairs.join(a.drop("norm_name", "norm_address"), "source1_entity_id").join(b.drop("norm_name", "norm_address"), "entity_id"))
     return both.select(*pairs.columns, *(F.col(f).cast("float").cast("double").alias(f) for f in FEATURES))
 
 
@@ -103,14 +121,18 @@ def load(path: str) -> tuple[PipelineModel, dict]:
     return PipelineModel.load(f"{path}/model"), json.loads(SparkSession.active().read.text(f"{path}/facts").first()[0])
 
 
-def train_and_evaluate(queries: DataFrame, targets: DataFrame, validation: float = 0.2, seed: int = 42, **options) -> tuple[PipelineModel, float, DataFrame]:
-    """(model, threshold, sweep). ``queries``: profiled S1 rows with true_ids; ``targets``: profiled S2 and S3 rows."""
-    dealt = split(queries, validation, seed)
+def train_and_evaluate(queries: DataFrame, targets: DataFrame, validation: float = 0.2, seed: int = 42, pool_step: int = POOL_STEP, **options) -> Trained:
+    """Model, chosen threshold, sweep, and metrics at that threshold, the last two on the queries held out.
+
+    ``queries``: normalized S1 rows (source1_entity_id, country, norm_name, norm_address) with true_ids; ``targets``: normalized S2 and S3 rows.
+    """
+    dealt = with_tokens(split(queries, validation, seed))
     train, held = dealt.filter("not is_validation"), dealt.filter("is_validation")
-    pool = negative_pool(targets.select("entity_id", "country", F.col("b_name_tokens").alias("name_tokens"), F.col("b_addr_tokens").alias("addr_tokens")), options.pop("pool_step", POOL_STEP))
-    asked = lambda q: q.select("source1_entity_id", "country", "true_ids", F.col("a_name_tokens").alias("name_tokens"), F.col("a_addr_tokens").alias("addr_tokens"))
-    bare_q, bare_t = queries.drop("country", "true_ids"), targets.drop("country")
-    model = fit(featured(training_pairs(asked(train), pool, seed), bare_q, bare_t), seed=seed, **options)
-    scored = score(model, featured(validation_pairs(asked(held), pool, seed), bare_q, bare_t))
-    sweep = metrics.threshold_sweep(held.select("source1_entity_id", "true_ids"), scored.select("source1_entity_id", "entity_id", "probability"))
-    return model, metrics.best_threshold(sweep)[0], sweep
+    pool = negative_pool(with_tokens(targets).select("entity_id", "country", "name_tokens", "addr_tokens"), pool_step)
+    model = fit(featured(training_pairs(train, pool, seed), queries, targets), seed=seed, **options)
+    scored = score(model, featured(validation_pairs(held, pool, seed), queries, targets)).select("source1_entity_id", "entity_id", "probability")
+    known = held.select("source1_entity_id", "true_ids")
+    sweep = metrics.threshold_sweep(known, scored)
+    threshold = metrics.best_threshold(sweep)[0]
+    chosen = scored.filter(F.col("probability") >= threshold).groupBy("source1_entity_id").agg(F.collect_set("entity_id").alias("matched_entity_ids"))
+    return Trained(model, threshold, sweep, metrics.macro_f05(metrics.with_predictions(known, chosen)))

@@ -12,10 +12,27 @@ FALLBACK_THRESHOLD = 0.82  # fixed value
 
 
 def pairs(ranked: DataFrame, s1: DataFrame, targets: DataFrame) -> DataFrame:
-    """Candidates with both records' profiles: unknown queries get empty fields, unknown targets drop out."""
-    a = profile(s1, "a").select(F.col("entity_id").alias("source1_entity_id"), F.col("country").alias("a_country"), *_own("a"))
-    b = profile(targets, "b").select("entity_id", F.col("country").alias("b_country"), *_own("b"))
-    return ranked.join(b, "entity_id").join(a, "source1_entity_id")
+    """Candidates with both records' profiles, made of those records alone that are in a pair.
+
+    A query that isn't known has empty fields; a target that isn't known drops out. Of targets that share an id the
+    last source's counts (U2), of rows that share it within one the last in order of name, address and country.
+    """
+    of = lambda frame, id_, key: last_by_id(frame.join(ranked.select(F.col(id_).alias("entity_id")).distinct(), "entity_id", "left_semi")).select("entity_id", "country", "norm_name", "norm_address").withColumnRenamed("entity_id", key)
+    a = profile(of(s1, "source1_entity_id", "source1_entity_id"), "a").select("source1_entity_id", F.col("country").alias("a_country"), *_own("a"))
+    b = profile(of(targets, "entity_id", "entity_id"), "b").select("entity_id", F.col("country").alias("b_country"), *_own("b"))
+    both = ranked.join(b, "entity_id").join(a, "source1_entity_id", "left")
+    empty = profile(ranked.sparkSession.sql("SELECT '' AS norm_name, '' AS norm_address"), "a").select(*_own("a"))  # one row
+    kinds = dict(empty.dtypes)
+    nothing = {c: F.lit("").cast("string") if k == "string" else F.lit(0.0) if k == "double" else F.expr(f"cast({k.split('<')[0]}() as {k})") for c, k in kinds.items()}
+    return both.withColumns({"a_country": F.coalesce("a_country", F.lit("")), **{c: F.coalesce(c, v) for c, v in nothing.items()}})
+
+
+def last_by_id(records: DataFrame) -> DataFrame:
+    """One row for each entity_id: the one of the last source, then the last in order of name, address and country."""
+    order = [F.col(c) for c in ("source", "norm_name", "norm_address", "country") if c in records.columns]
+    rest = [c for c in records.columns if c != "entity_id"]
+    best = records.groupBy("entity_id").agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r"))
+    return best.select("entity_id", "r.*")
 
 
 def _own(prefix: str) -> list[str]:

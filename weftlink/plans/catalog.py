@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import dicts
 from ..functions import normalize as N
 from ..functions.similarity import FEATURES, pair_features
 from ..operators import blocking, learn, matching, metrics
@@ -45,10 +46,11 @@ class Views:
 
 
 BASE = r"""
-WITH raw AS (SELECT doc_id, 1 + doc_id % 3 AS source, coalesce(text, '') AS text, lang FROM documents),
-cut AS (SELECT 'S' || source || '-' || lpad(doc_id::VARCHAR, 7, '0') AS entity_id, source, text, substring(text, 1, 60) AS business_name,
-  substring(text, 61, 120) AS business_address, CASE lang WHEN 'en' THEN 'US' WHEN 'fr' THEN 'France' ELSE '' END AS country FROM raw),
-e AS MATERIALIZED (SELECT *, trim(regexp_replace(regexp_replace(strip_accents(lower(business_name)), '[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g')) AS norm_name,
+WITH raw AS (SELECT doc_id, 1 + doc_id % 3 AS source, lang, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS l FROM documents),
+rows AS (SELECT *, unnest(range(greatest((len(l) + 1) // 2, 1))) AS i FROM raw),
+cut AS (SELECT 'S' || source || '-' || doc_id || '-' || i AS entity_id, source, coalesce(l[2 * i + 1], '') AS business_name, coalesce(l[2 * i + 2], '') AS business_address,
+  CASE lang WHEN 'en' THEN 'US' WHEN 'fr' THEN 'France' ELSE '' END AS country FROM rows),
+e AS MATERIALIZED (SELECT *, business_name || chr(10) || business_address AS text, trim(regexp_replace(regexp_replace(strip_accents(lower(business_name)), '[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g')) AS norm_name,
   trim(regexp_replace(regexp_replace(strip_accents(lower(business_address)), '[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g')) AS norm_address FROM cut),
 tok AS MATERIALIZED (SELECT DISTINCT entity_id, source, field, token FROM (
   SELECT entity_id, source, 'name' AS field, unnest(string_split(norm_name, ' ')) AS token FROM e UNION ALL
@@ -68,7 +70,8 @@ fc AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sou
 best AS (SELECT source1_entity_id, entity_id, max(score) AS score FROM fc GROUP BY ALL),
 ranked AS MATERIALIZED (SELECT source1_entity_id, entity_id, score, row_number() OVER (PARTITION BY source1_entity_id ORDER BY score DESC, entity_id) AS rank FROM best
   QUALIFY row_number() OVER (PARTITION BY source1_entity_id ORDER BY score DESC, entity_id DESC) <= 100),
-tr AS MATERIALIZED (SELECT a.entity_id AS source1_entity_id, list(b.entity_id) FILTER (b.entity_id IS NOT NULL) AS ids FROM e a LEFT JOIN e b ON a.text = b.text AND b.source > 1 WHERE a.source = 1 GROUP BY ALL),
+one AS (SELECT text, source, min(entity_id) AS entity_id FROM e WHERE source > 1 GROUP BY ALL),
+tr AS MATERIALIZED (SELECT a.entity_id AS source1_entity_id, list(b.entity_id) FILTER (b.entity_id IS NOT NULL) AS ids FROM e a LEFT JOIN one b ON a.text = b.text WHERE a.source = 1 GROUP BY ALL),
 truth AS MATERIALIZED (SELECT source1_entity_id, coalesce(ids, []) AS true_ids FROM tr)
 """
 GRAMS = r"""
@@ -261,6 +264,33 @@ def ordinals_zeros(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", N.ordinals_and_zeros(F.lower("text")).alias("text"))
 
 
+def _case(maps: list[dict[str, str]]) -> str:
+    first: dict[str, str] = {}
+    for m in reversed(maps):
+        first |= m
+    return "CASE w " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in first.items()) + " ELSE w END"
+
+
+WORDS_SQL = "list_filter(string_split_regex(regexp_replace(lower(text), '[^a-z0-9]', ' ', 'g'), ' +'), lambda x: x <> '')"
+
+
+@query(f"WITH t AS (SELECT doc_id, {WORDS_SQL} AS l FROM documents), w AS (SELECT doc_id, unnest(l) AS w, generate_subscripts(l, 1) AS i FROM t) "
+       f"SELECT t.doc_id, coalesce((SELECT string_agg({_case([dicts.ADDRESS_WORDS, dicts.ALL_STATES])}, ' ' ORDER BY i) FROM w WHERE w.doc_id = t.doc_id), '') AS text FROM t")
+def token_expand_address(spark, sf_dir):
+    words = N.tokens(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z0-9]", " "))
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.array_join(N.expanded(words, N.literal_map(dicts.ADDRESS_WORDS), N.literal_map(dicts.ALL_STATES)), " ").alias("text"))
+
+
+_FORMS = "|".join(dicts.LEGAL_FORMS)
+
+
+@query(rf"""WITH t AS (SELECT doc_id, array_to_string({WORDS_SQL}, ' ') AS text FROM documents)
+SELECT doc_id, regexp_replace(regexp_replace(coalesce(text, ''), '(\S)(?: (?:{_FORMS}))+$', '\1'), '^(?:(?:{_FORMS}) )+(\S)', '\1') AS text FROM t""")
+def legal_suffix_strip(spark, sf_dir):
+    words = N.tokens(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z0-9]", " "))
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", N.without_legal_forms(F.array_join(words, " ")).alias("text"))
+
+
 @query()
 def normalize_name_full(spark, sf_dir):
     return Views(spark, sf_dir).entities.select("entity_id", N.normalized_name(F.col("business_name")).alias("norm_name"))
@@ -271,24 +301,16 @@ def normalize_address_full(spark, sf_dir):
     return Views(spark, sf_dir).entities.select("entity_id", N.normalized_address(F.col("business_address"), F.col("country")).alias("norm_address"))
 
 
-def _profiled(v: Views):
-    from ..functions.similarity import profile
-
-    a = profile(v.s1, "a").withColumnRenamed("entity_id", "source1_entity_id").drop("business_name", "business_address", "norm_name", "norm_address")
-    b = profile(v.targets, "b").drop("business_name", "business_address", "norm_name", "norm_address", "source", "target_row")
-    return a.join(v.truth, "source1_entity_id"), b
-
-
 @query()
 def hard_negatives(spark, sf_dir):
-    queries, targets = _profiled(Views(spark, sf_dir))
-    pool = learn.negative_pool(targets.select("entity_id", "country", F.col("b_name_tokens").alias("name_tokens"), F.col("b_addr_tokens").alias("addr_tokens")), 1)
-    asked = queries.select("source1_entity_id", "country", "true_ids", F.col("a_name_tokens").alias("name_tokens"), F.col("a_addr_tokens").alias("addr_tokens"))
+    v = Views(spark, sf_dir)
+    pool = learn.negative_pool(learn.with_tokens(v.targets).select("entity_id", "country", "name_tokens", "addr_tokens"), 1)
+    asked = learn.with_tokens(v.s1.withColumnRenamed("entity_id", "source1_entity_id")).join(v.truth, "source1_entity_id").select("source1_entity_id", "country", "true_ids", "name_tokens", "addr_tokens")
     return learn.hard_negatives(asked, pool, "addr", 6).withColumn("field", F.lit("address")).unionByName(learn.hard_negatives(asked, pool, "name", 4).withColumn("field", F.lit("name")))
 
 
 @query()
 def train_score(spark, sf_dir):
-    queries, targets = _profiled(Views(spark, sf_dir))
-    _, _, sweep = learn.train_and_evaluate(queries, targets, pool_step=1, iterations=10)
-    return sweep.select("threshold", R("macro_f05"))
+    v = Views(spark, sf_dir)
+    queries = v.s1.withColumnRenamed("entity_id", "source1_entity_id").join(v.truth, "source1_entity_id")
+    return learn.train_and_evaluate(queries, v.targets, pool_step=1).sweep.select("threshold", R("macro_f05"))

@@ -26,14 +26,26 @@ def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def id_lists(df: DataFrame, column: str) -> DataFrame:
     """The comma-joined ids of ``column`` as an array; blanks and empty ids dropped."""
-    return df.withColumn(column, F.filter(F.transform(F.split(F.coalesce(column, F.lit("")), ","), F.trim), lambda x: x != ""))
+    return df.withColumn(column, F.filter(F.transform(F.split(F.coalesce(column, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != ""))
 
 
 def load_records(frame: DataFrame) -> DataFrame:
-    """Rows with an id, one for each (the last name and address in order on ties), normalized."""
+    """Rows with an id, one for each (the last name and address in order on ties), normalized without their country."""
     kept = frame.filter(F.trim("entity_id") != "")
     one = kept.groupBy("entity_id").agg(F.max(F.struct(*[c for c in kept.columns if c != "entity_id"])).alias("r"))
-    return normalize(one.select("entity_id", "r.*"))
+    return normalize(one.select("entity_id", "r.*"), country_col=None)
+
+
+def read_truth(spark: SparkSession, path: str) -> DataFrame:
+    """(source1_entity_id, true_ids) of a file of matches."""
+    return id_lists(read_tsv(spark, path, TRUTH), "matched_entity_ids").withColumnRenamed("matched_entity_ids", "true_ids")
+
+
+def read_candidates(spark: SparkSession, path: str) -> DataFrame:
+    """(source1_entity_id, entity_id, rank) of a file of candidate lists, each id once, at its first place."""
+    lists = id_lists(read_tsv(spark, path, CANDIDATES), "candidate_entity_ids")
+    each = lists.select("source1_entity_id", F.posexplode(F.array_distinct("candidate_entity_ids")).alias("at", "entity_id"))
+    return each.select("source1_entity_id", "entity_id", (F.col("at") + 1).alias("rank"))
 
 
 def fingerprint(spark: SparkSession, path: str) -> str:
@@ -42,14 +54,17 @@ def fingerprint(spark: SparkSession, path: str) -> str:
     return files.agg(F.sha2(F.concat_ws("|", F.array_sort(F.collect_list(F.concat_ws("|", "path", "length", "modificationTime")))), 256)).first()[0][:16]
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, in whatever store Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def ensure_normalized(spark: SparkSession, path: str, cache_dir: str) -> DataFrame:
     """The records of ``path``, normalized once for each state of its files and kept as Parquet under ``cache_dir``."""
     out = f"{cache_dir}/{fingerprint(spark, path)}.normalized"
-    try:
+    if exists(spark, f"{out}/_SUCCESS"):  # else not there, or only half of it
         return spark.read.parquet(out)
-    except Exception as e:  # not there yet
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
     raw = read_tsv(spark, path)
     if raw.isEmpty():
         raise ValueError(f"{path} has no records")
@@ -71,24 +86,30 @@ def clean(text):
 
 
 def entity_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records made of documents: (entity_id, source, business_name, business_address, country, norm_name, norm_address, text)."""
+    """Records made of whole documents: (entity_id, source, business_name, business_address, country, norm_name, norm_address, text).
+
+    The lines that aren't blank are taken two by two, the first as name and the second as address; a text without any
+    is one empty record. The document's id says which source its records belong to.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    text = F.coalesce("text", F.lit(""))
+    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(r"[^ \t\n\x0B\f\r]"))
+    rows = docs.select("doc_id", "lang", lines.alias("l")).withColumn("i", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.size("l") / 2), F.lit(1)).cast("int") - 1)))
     source = (1 + F.col("doc_id") % 3).cast("int")
-    out = docs.select(
-        F.concat(F.lit("S"), source, F.lit("-"), F.lpad(F.col("doc_id").cast("string"), 7, "0")).alias("entity_id"),
+    field = lambda k: F.coalesce(F.get("l", 2 * F.col("i") + k), F.lit(""))
+    out = rows.select(
+        F.concat(F.lit("S"), source, F.lit("-"), "doc_id", F.lit("-"), "i").alias("entity_id"),
         source.alias("source"),
-        F.substring(text, 1, 60).alias("business_name"),
-        F.substring(text, 61, 120).alias("business_address"),
+        field(0).alias("business_name"),
+        field(1).alias("business_address"),
         F.when(F.col("lang") == "en", "US").when(F.col("lang") == "fr", "France").otherwise("").alias("country"),
-        text.alias("text"),
     )
-    return out.withColumns({"norm_name": clean(F.col("business_name")), "norm_address": clean(F.col("business_address"))})
+    return out.withColumns({"norm_name": clean(F.col("business_name")), "norm_address": clean(F.col("business_address")), "text": F.concat_ws("\n", "business_name", "business_address")})
 
 
 def truth(entities: DataFrame) -> DataFrame:
-    """(source1_entity_id, true_ids): targets with the query's whole text."""
+    """(source1_entity_id, true_ids): of each target source the first record with the query's whole text."""
     key = F.sha2("text", 256)
     a = entities.filter("source = 1").select(F.col("entity_id").alias("source1_entity_id"), key.alias("k"))
-    b = entities.filter("source > 1").select("entity_id", key.alias("k")).groupBy("k").agg(F.array_sort(F.collect_list("entity_id")).alias("true_ids"))
+    one = lambda n: F.min(F.when(F.col("source") == n, F.col("entity_id")))
+    b = entities.filter("source > 1").groupBy(key.alias("k")).agg(F.array_compact(F.array(one(2), one(3))).alias("true_ids"))
     return a.join(b, "k", "left").select("source1_entity_id", F.coalesce("true_ids", F.expr("cast(array() as array<string>)")).alias("true_ids"))

@@ -10,7 +10,10 @@ from ..operators.blocking import Index, candidate_lists
 
 
 def candidates_of_stream(stream: DataFrame, index: Index, out: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Writes the candidate lists of each micro-batch; a batch that is run again replaces its own folder."""
+    """Writes the candidate lists of each micro-batch; a batch that is run again replaces its own folder.
+
+    ``index`` should be one with a path, or each batch makes its tables anew.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         own = normalize(batch)
