@@ -1,6 +1,6 @@
 """Chat formatting of reply trees, with DataFrame operations only.
 
-Messages name their parent. Root-to-leaf paths are enumerated by self-joins that double the
+Messages name their parent, by ids in any order. Root-to-leaf paths are enumerated by self-joins that double the
 distance: the jump table gives each message's ancestor at distance 2^k and is joined with
 itself, and every path found so far is lengthened by it, so a chain of n replies takes log2(n)
 rounds. Branches are ranked by the sum of their messages' scores (ties: the smaller leaf) and
@@ -11,10 +11,13 @@ backslash becomes ``\\0``, ``<|`` becomes ``<\\1`` and, in roles, a new line bec
 control string is left there, and ``unescaped`` gives the original back. The loss mask covers
 each assistant text and nothing else.
 
-Defined results: a null text or role is empty; a null conversation id is a conversation like
-others; a parent that doesn't exist, or isn't smaller than the message, makes the message a
-root (so there are no cycles); repeated (conversation, node) rows count once, the one with the
-smallest (role, text); no rows give no conversations; other columns are not read.
+Defined results: a null text or role is empty, a null score 0; a null conversation id is a
+conversation like others; rows without a node are left out; a message whose parent doesn't exist
+is a root; of messages that answer each other in a cycle the one with the smallest id is a root.
+Rows that repeat count once. Different messages under one id of a conversation are kept, as answers
+to the same parent: replies to that id belong to the first in order of (role, text, score, parent), the others are
+leaves, told apart by ``variant``. Equal scores are ranked by the smaller leaf. Texts of any length
+are taken whole; no rows give no conversations; other columns are not read.
 """
 
 from __future__ import annotations
@@ -44,58 +47,92 @@ def linear(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     return own.select("conv", node.cast("long").alias("node"), F.when(node > 1, node - 1).cast("long").alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
-def _same(a: DataFrame, b: DataFrame, node_a: str, node_b: str) -> Column:
-    return a["conv"].eqNullSafe(b["conv"]) & (a[node_a] == b[node_b])
+def _on(a: str, b: str, node_a: str = "node", node_b: str = "node") -> Column:
+    return F.col(f"{a}.conv").eqNullSafe(F.col(f"{b}.conv")) & (F.col(f"{a}.{node_a}") == F.col(f"{b}.{node_b}"))
+
+
+def _squared(jump: DataFrame) -> DataFrame:
+    """Jumps twice as far; nodes that have no ancestor at that distance drop out."""
+    return jump.alias("a").join(jump.alias("b"), _on("a", "b", "to")).select("a.conv", "a.node", F.col("b.to").alias("to"))
+
+
+def without_cycles(edges: DataFrame) -> DataFrame:
+    """``edges`` (conv, node, to), one for each node, without those that start at the smallest node of a cycle.
+
+    A cycle has an edge to a node that isn't smaller; where there is none, nothing is done. Jumps that
+    double find the nodes without a root (their number stops shrinking) and then those on cycles
+    (the jumps' ends stop shrinking, too); the smallest node ahead is found by doubling as well.
+    """
+    if edges.filter("to >= node").isEmpty():
+        return edges
+    jump, last = edges, (-1, -1)
+    while True:
+        here = jump.agg(F.count(F.lit(1)), F.count_distinct(F.struct("conv", "to"))).first()
+        if not here[0]:
+            return edges
+        if tuple(here) == last:
+            break
+        last = tuple(here)
+        jump = checkpointed(_squared(jump))
+    ring = jump.select("conv", F.col("to").alias("node")).distinct()
+    jump = checkpointed(edges.alias("a").join(ring.alias("b"), _on("a", "b"), "left_semi").withColumn("least", F.least("node", "to")))
+    while not jump.alias("a").join(jump.alias("b"), _on("a", "b", "to")).filter("a.least <> b.least").isEmpty():
+        jump = checkpointed(jump.alias("a").join(jump.alias("b"), _on("a", "b", "to")).select("a.conv", "a.node", F.col("b.to").alias("to"), F.least("a.least", "b.least").alias("least")))
+    cut = jump.filter("node = least").select("conv", "node")
+    return checkpointed(edges.alias("a").join(cut.alias("b"), _on("a", "b"), "left_anti"))
 
 
 def paths(messages: DataFrame) -> DataFrame:
     """``messages`` (conv, node, parent, ...) -> (conv, leaf, node, up): every leaf's ancestors, itself included, ``up`` replies above it."""
     nodes = checkpointed(messages.filter("node is not null").groupBy("conv", "node").agg(F.min("parent").alias("parent")))
-    kids, parents = nodes.filter("parent < node").alias("k"), nodes.select("conv", "node").alias("p")
-    jump = checkpointed(kids.join(parents, F.col("k.conv").eqNullSafe(F.col("p.conv")) & (F.col("k.parent") == F.col("p.node"))).select("k.conv", "k.node", F.col("k.parent").alias("to")))
-    inner = jump.select("conv", F.col("to").alias("node")).distinct().alias("p")
-    all_ = nodes.alias("k")
-    leaves = all_.join(inner, F.col("k.conv").eqNullSafe(F.col("p.conv")) & (F.col("k.node") == F.col("p.node")), "left_anti").select("k.conv", "k.node")
+    jump = nodes.alias("a").join(nodes.select("conv", "node").alias("b"), _on("a", "b", "parent")).select("a.conv", "a.node", F.col("a.parent").alias("to"))
+    jump = without_cycles(checkpointed(jump))
+    inner = jump.select("conv", F.col("to").alias("node")).distinct()
+    leaves = nodes.alias("a").join(inner.alias("b"), _on("a", "b"), "left_anti").select("a.conv", "a.node")
     found = checkpointed(leaves.select("conv", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")))
     step = 1
     while not jump.isEmpty():
-        a, b = found.alias("a"), jump.alias("b")
-        on = F.col("a.conv").eqNullSafe(F.col("b.conv")) & (F.col("a.node") == F.col("b.node"))
-        longer = a.join(b, on).select("a.conv", "a.leaf", F.col("b.to").alias("node"), (F.col("a.up") + step).alias("up"))
+        longer = found.alias("a").join(jump.alias("b"), _on("a", "b")).select("a.conv", "a.leaf", F.col("b.to").alias("node"), (F.col("a.up") + step).alias("up"))
         found = checkpointed(found.unionByName(longer))
-        a, b = jump.alias("a"), jump.alias("b")
-        on = F.col("a.conv").eqNullSafe(F.col("b.conv")) & (F.col("a.to") == F.col("b.node"))
-        jump = checkpointed(a.join(b, on).select("a.conv", "a.node", F.col("b.to")))
+        jump = checkpointed(_squared(jump))
         step *= 2
     return found
 
 
 def format_trees(messages: DataFrame, top: int | None = None) -> DataFrame:
-    """``messages`` (conv, node, parent, role, text, score) -> (conv, leaf, branch, score, formatted, loss_spans).
+    """``messages`` (conv, node, parent, role, text, score) -> (conv, leaf, variant, branch, score, formatted, loss_spans).
 
-    ``branch`` ranks a conversation's paths from 1; ``top`` keeps so many. ``loss_spans`` are
-    [start, end) in code points of ``formatted``.
+    ``branch`` ranks a conversation's paths from 1; ``top`` keeps so many, ranked before any text is
+    formatted. ``loss_spans`` are [start, end) in code points of ``formatted``.
     """
-    whole = F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("score", F.lit(0.0)).alias("score"))
-    body = messages.filter("node is not null").groupBy("conv", "node").agg(F.min(whole).alias("m")).alias("b")
-    p = paths(messages).alias("p")
-    on = F.col("p.conv").eqNullSafe(F.col("b.conv")) & (F.col("p.node") == F.col("b.node"))
-    role, text = F.col("b.m.role"), F.col("b.m.text")
-    rows = p.join(body, on).select("p.conv", "p.leaf", "p.up", role.alias("role"), F.col("b.m.score").alias("score"), F.concat(F.lit(START), escaped(role, True), F.lit("\n")).alias("head"), escaped(text).alias("body"))
+    own = messages.filter("node is not null").select("conv", "node", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("score", F.lit(0.0)).alias("score"), "parent")
+    one = own.groupBy("conv", "node").agg(F.array_sort(F.collect_set(F.struct("role", "text", "score", "parent"))).alias("all"))  # as many as an id has messages
+    each = one.select("conv", "node", F.posexplode("all").alias("variant", "m"))
+    point = F.struct(F.col("node"), F.col("variant"))
+    whole = checkpointed(each.select("conv", point.alias("node"), F.when(F.col("m.parent").isNotNull(), F.struct(F.col("m.parent").alias("node"), F.lit(0).alias("variant"))).alias("parent"), "m.role", "m.text", "m.score"))
+    p = paths(whole.select("conv", "node", "parent"))
+    scores = p.alias("a").join(whole.select("conv", "node", "score").alias("b"), _on("a", "b")).groupBy("a.conv", "a.leaf").agg(F.sum("b.score").alias("score"))
+    ranked = scores.withColumn("branch", F.row_number().over(Window.partitionBy("conv").orderBy(F.desc("score"), "leaf")))
+    if top is not None:
+        ranked = checkpointed(ranked.filter(F.col("branch") <= top))
+        p = p.alias("a").join(ranked.alias("b"), _on("a", "b", "leaf", "leaf"), "left_semi")
+    body = whole.select("conv", "node", "role", F.concat(F.lit(START), escaped(F.col("role"), True), F.lit("\n")).alias("head"), escaped(F.col("text")).alias("body"))
+    rows = p.alias("a").join(body.alias("b"), _on("a", "b")).select("a.conv", "a.leaf", "a.up", "b.role", "b.head", "b.body")
     line = Window.partitionBy("conv", "leaf").orderBy(F.desc("up"))
     rows = rows.withColumn("to", F.sum(F.length("head") + F.length("body") + len(END)).over(line))
     end = F.col("to") - len(END)
     turn = F.struct((-F.col("up")).alias("at"), F.concat("head", "body", F.lit(END)).alias("piece"), (end - F.length("body")).alias("start"), end.alias("end"), (F.col("role") == "assistant").alias("loss"))
-    joined = rows.groupBy("conv", "leaf").agg(F.array_sort(F.collect_list(turn)).alias("turns"), F.sum("score").alias("score"))
-    out = joined.select(
-        "conv",
-        "leaf",
-        F.row_number().over(Window.partitionBy("conv").orderBy(F.desc("score"), "leaf")).alias("branch"),
-        "score",
+    joined = rows.groupBy("conv", "leaf").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    out = joined.alias("a").join(ranked.alias("b"), _on("a", "b", "leaf", "leaf"))
+    return out.select(
+        "a.conv",
+        "a.leaf.node",
+        "a.leaf.variant",
+        "b.branch",
+        "b.score",
         F.array_join(F.col("turns.piece"), "").alias("formatted"),
         F.transform(F.filter("turns", lambda t: t["loss"]), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"))).alias("loss_spans"),
-    )
-    return out if top is None else out.filter(F.col("branch") <= top)
+    ).withColumnRenamed("node", "leaf")
 
 
 def read_back(formatted: Column) -> Column:
