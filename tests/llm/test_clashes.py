@@ -33,7 +33,7 @@ OPERATORS = {
     "filter_quality": lambda d, x: quality.filter_quality(d).select("doc_id", "text"),
     "lines": lambda d, x: lines.dedup_lines(d).select("doc_id", "text", "n_lines", "removed_lines"),
     "suffixes": lambda d, x: suffixes.remove_repeats(d),
-    "sharding": lambda d, x: sharding.shard(d, 7).drop("slot"),
+    "sharding": lambda d, x: sharding.shard(d, 7),
 }
 
 

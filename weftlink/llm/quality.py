@@ -1,21 +1,25 @@
 """Quality rules: base counts, and divergence from language references.
 
 A document's histogram of character classes and of common words is compared with the
-references of its language by Jensen-Shannon distance (base 2, so 0 to 1). References are sums
-over all documents of a language, made in one pass whose partial sums are added up before the
-shuffle; languages outside COMMON share one reference. A document is rejected if the nearest
+references of its language by Jensen-Shannon distance (base 2, so 0 to 1). References are given, or
+made as sums over all trusted documents of a language (such as those labelled good), in one pass whose
+partial sums are added up before the shuffle; a language without a trusted document takes all its
+documents, languages outside COMMON share one reference. A document is rejected if the nearest
 reference is further than ``max_classes`` or ``max_words``; each test holds only from a minimum
 length on, since histograms of short texts say little.
 
-Defined results: a null text has no words and fails the base rules; a null or unknown language
-belongs to the shared reference and is compared with every one; a document that stands alone is
-its own reference. Rows are independent once the references are made; other columns are not read.
+Defined results: a null text has no words and fails the base rules, as an empty one does; a null or
+unknown language belongs to the shared reference and is compared with every one; without any reference
+nothing is far. Repeated rows have repeated results, texts of any length are taken whole, an empty table
+has no rows. Rows are independent once the references are made; other columns are not read.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,16 +38,31 @@ CLASSES = ["lower", "upper", "other letters", "digits", "space", "sentence marks
 SYMBOLS = "#*$%&|<>"
 
 
-def _classes() -> np.ndarray:
-    """The class of each first byte of a UTF-8 character; further bytes have the last number, which is not counted."""
-    table = np.full(256, 7, dtype=np.uint8)
-    table[0x80:0xC0], table[0xC0:] = 8, 2
-    for c in map(chr, range(128)):
-        table[ord(c)] = 0 if c.islower() else 1 if c.isupper() else 3 if c.isdigit() else 4 if c in " \t\n\r\v\f" else 5 if c in ".,;:!?'\"()-" else 6 if c.isprintable() else 7
-    return table
+SENTENCE = ".,;:!?'\"()-…’‘“”«»¿¡–—、。"
+
+
+def _class(c: str) -> int:
+    kind = unicodedata.category(c)
+    if c in SENTENCE:
+        return 5
+    if c.isspace():
+        return 4
+    return {"Ll": 0, "Lu": 1, "Lt": 1}.get(kind, {"L": 2, "M": 2, "N": 3, "Z": 4, "P": 6, "S": 6}.get(kind[0], 7))
+
+
+@cache
+def _table(size: int) -> np.ndarray:
+    """The class of each character by its number."""
+    return np.array([_class(chr(c)) for c in range(size)], dtype=np.uint8)
+
+
+def class_counts(text: str) -> np.ndarray:
+    if text.isascii():
+        return np.bincount(_table(128)[np.frombuffer(text.encode(), dtype=np.uint8)], minlength=N_CLASSES)
+    codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    return np.bincount(_table(1 << 16 if codes.max() < 1 << 16 else 0x110000)[codes], minlength=N_CLASSES)
 
 
-TABLE = _classes()
 #: A-Z in lower case; ASCII marks and symbols as spaces, so that "the," counts as "the".
 PLAIN = bytes(b + 32 if 65 <= b <= 90 else 32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
 N_CLASSES, N_WORDS = len(CLASSES), len(WORDS)
@@ -51,10 +70,10 @@ N_CLASSES, N_WORDS = len(CLASSES), len(WORDS)
 SHARED = 0.6
 
 
-def histograms(raw: bytes) -> tuple[np.ndarray, np.ndarray, int]:
-    """(characters by class, common words, words) of a text in UTF-8."""
-    classes = np.bincount(TABLE[np.frombuffer(raw, dtype=np.uint8)], minlength=9)[:N_CLASSES]
-    words = raw.translate(PLAIN).split()
+def histograms(text: str) -> tuple[np.ndarray, np.ndarray, int]:
+    """(characters by class, common words, words) of a text."""
+    classes = class_counts(text)
+    words = text.encode().translate(PLAIN).split()
     common = np.zeros(N_WORDS, dtype=np.int64)
     if words:
         count = Counter(words)
@@ -97,28 +116,41 @@ def distances(histogram: np.ndarray, references: np.ndarray) -> np.ndarray:
     return np.where(total[:, 0] > 0, np.sqrt(np.clip(kl / 2, 0, 1)), 1.0)
 
 
-def language_references(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang") -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """The summed histograms of all documents, for each language of COMMON and "" for the others: at most five rows reach the driver."""
+def language_references(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", id_col: str = "doc_id", trusted: DataFrame | None = None, most_trusted: int = 20_000) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """The summed histograms of the documents whose ids ``trusted`` (id) holds, for each language of COMMON and "" for the others.
+
+    Of more than ``most_trusted`` ids those with the smallest hashes are taken: a reference is fitted on so many
+    labelled documents at most. A language without a trusted document takes all its documents, as each does
+    without ``trusted``. At most ten sums and ``most_trusted`` ids reach the driver.
+    """
     lang = F.when(F.col(lang_col).isin(*COMMON), F.col(lang_col)).otherwise("") if lang_col else F.lit("")
+    own = docs.select(lang.alias("lang"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"))
+    chosen_ids = None
+    if trusted is not None:
+        ids = trusted.select(F.col(trusted.columns[0]).cast("long").alias("id")).filter("id is not null").distinct()
+        chosen_ids = frozenset(r[0] for r in ids.orderBy(F.xxhash64("id"), "id").limit(most_trusted).collect())
 
     def run(batches):
-        sums: dict[str, np.ndarray] = {}
+        sums: dict[tuple, np.ndarray] = {}
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for lang, text, id_ in zip(*(c.to_pylist() for c in batch.columns)):
                 if text:
-                    c, w, n = histograms(text.encode())
-                    own = sums.setdefault(lang, np.zeros(N_CLASSES + N_WORDS + 1, dtype=np.int64))
-                    own[:N_CLASSES] += c
-                    own[N_CLASSES:-1] += w
-                    own[-1] += n
-        for lang, own in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own)), pa.array(range(len(own)), pa.int32()), pa.array(own)], names=["lang", "i", "n"])
-
-    rows = docs.select(lang.alias("lang"), F.col(text_col)).mapInArrow(run, "lang string, i int, n long").groupBy("lang", "i").agg(F.sum("n").alias("n")).collect()
-    out: dict[str, np.ndarray] = {}
-    for lang, i, n in rows:
-        out.setdefault(lang, np.zeros(N_CLASSES + N_WORDS + 1, dtype=np.int64))[i] = n
-    return {k: (v[:N_CLASSES], _with_rest(v[N_CLASSES:-1], v[-1])) for k, v in sorted(out.items())}
+                    good = chosen_ids is None or id_ in chosen_ids
+                    c, w, n = histograms(text)
+                    total = sums.setdefault((lang, good), np.zeros(N_CLASSES + N_WORDS + 1, dtype=np.int64))
+                    total[:N_CLASSES] += c
+                    total[N_CLASSES:-1] += w
+                    total[-1] += n
+        for (lang, good), total in sums.items():
+            n = len(total)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * n), pa.array([good] * n), pa.array(range(n), pa.int32()), pa.array(total)], names=["lang", "good", "i", "n"])
+
+    rows = own.mapInArrow(run, "lang string, good boolean, i int, n long").groupBy("lang", "good", "i").agg(F.sum("n").alias("n")).collect()
+    out: dict[str, dict[bool, np.ndarray]] = {}
+    for lang, good, i, n in rows:
+        out.setdefault(lang, {}).setdefault(good, np.zeros(N_CLASSES + N_WORDS + 1, dtype=np.int64))[i] = n
+    chosen = {k: v.get(True, v.get(False)) for k, v in sorted(out.items())}
+    return {k: (v[:N_CLASSES], _with_rest(v[N_CLASSES:-1], v[-1])) for k, v in chosen.items()}
 
 
 def _with_rest(common: np.ndarray, words: int) -> np.ndarray:
@@ -154,7 +186,7 @@ class Judge:
 
     def judged(self, text: str, lang: str | None) -> tuple[float, float, bool]:
         """Distances from the language's own reference, or the nearest if it has none, and whether the text is kept; a text under the minimum length is 0 away."""
-        classes, common, n = histograms(text.encode())
+        classes, common, n = histograms(text)
         own = [self.langs.index(lang)] if lang in self.langs and lang else list(range(len(self.langs)))
         c = float(distances(classes.astype(float), self.classes[own]).min()) if own and classes.sum() >= self.min_chars else 0.0
         far = np.where(n >= self.least[own], distances(_with_rest(common, n).astype(float), self.words[own]), 0.0) if own else np.zeros(1)
@@ -162,9 +194,10 @@ class Judge:
         return c, float(far.min()), c <= self.max_classes and near
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", max_classes: float = 0.3, max_words: float | None = None, min_chars: int = 200, min_words: int = 50) -> DataFrame:
+def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", max_classes: float = 0.3, max_words: float | None = None, min_chars: int = 200, min_words: int = 50, references: dict | None = None, trusted: DataFrame | None = None) -> DataFrame:
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept)."""
-    judge = Judge(language_references(docs, text_col, lang_col), max_classes, max_words, min_chars, min_words)
+    references = language_references(docs, text_col, lang_col, id_col, trusted) if references is None else references
+    judge = Judge(references, max_classes, max_words, min_chars, min_words)
     lang = F.col(lang_col) if lang_col else F.lit(None).cast("string")
     longs = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -184,9 +217,10 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), lang.alias("lang")).mapInArrow(run, schema)
 
 
-def filter_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_classes: float = 0.3, max_words: float | None = None, min_chars: int = 200, min_words: int = 50) -> DataFrame:
+def filter_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_classes: float = 0.3, max_words: float | None = None, min_chars: int = 200, min_words: int = 50, id_col: str = "doc_id", references: dict | None = None, trusted: DataFrame | None = None) -> DataFrame:
     """The rows that are kept, with all their columns, in one more pass and without a shuffle."""
-    judge = Judge(language_references(docs, text_col, lang_col), max_classes, max_words, min_chars, min_words)
+    references = language_references(docs, text_col, lang_col, id_col, trusted) if references is None else references
+    judge = Judge(references, max_classes, max_words, min_chars, min_words)
     at, lang_at = docs.columns.index(text_col), docs.columns.index(lang_col)
 
     def run(batches):
