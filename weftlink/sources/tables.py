@@ -85,13 +85,19 @@ def clean(text):
     return F.trim(F.regexp_replace(F.regexp_replace(plain, r"[^a-z0-9\s]", " "), r"\s+", " "))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores if its input has fewer splits than there are: a small table is often one."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def entity_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records made of whole documents: (entity_id, source, business_name, business_address, country, norm_name, norm_address, text).
 
     The lines that aren't blank are taken two by two, the first as name and the second as address; a text without any
     is one empty record. The document's id says which source its records belong to.
     """
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text"))
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(r"[^ \t\n\x0B\f\r]"))
     rows = docs.select("doc_id", "lang", lines.alias("l")).withColumn("i", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.size("l") / 2), F.lit(1)).cast("int") - 1)))
     source = (1 + F.col("doc_id") % 3).cast("int")
