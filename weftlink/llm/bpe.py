@@ -35,17 +35,18 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-BITS = [1 << i for i in range(256)]
+#: Ranks go up to 256 x len(BITS).
+BITS = [1 << i for i in range(1 << 10)]
 
 
 class Tokenizer:
     """``remember``: how many pre-tokens each of two generations of the memory holds."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 500_000):
         self.ranks, self.remember = ranks, remember
         self.split = regex.compile(pattern).findall
         self.words = [0] * ((max(ranks.values(), default=0) >> 8) + 1)
-        self.pairs = {k[0] << 8 | k[1]: v for k, v in ranks.items() if len(k) == 2}
+        self.pairs = {k: v for k, v in ranks.items() if len(k) == 2}
         self.bytes_of = {v: k for k, v in ranks.items()}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -63,31 +64,30 @@ class Tokenizer:
         n = len(piece)
         end = list(range(1, n + 1))  # the part that starts at i is piece[i:end[i]]; 0 once it is part of another
         before = list(range(-1, n))
-        words, buckets, top = self.words, {}, 0
-        new = [(r, i) for i, r in enumerate(map(self.pairs.get, [a << 8 | b for a, b in zip(piece, piece[1:])])) if r is not None]
-        while True:
-            for r, i in new:
+        words, buckets, top, pair = self.words, {}, 0, self.pairs.get
+        for i in range(n - 1):
+            if (r := pair(piece[i : i + 2])) is not None:
                 if r in buckets:
-                    heappush(buckets[r], i)
+                    buckets[r].append(i)  # in order, so a heap
                 else:
                     buckets[r] = [i]
                     w = r >> 8
                     words[w] |= BITS[r & 255]
-                    top |= 1 << w
-            if not top:
-                break
-            new = []
+                    top |= BITS[w]
+        while top:
             w = (top & -top).bit_length() - 1
             bits = words[w]
             bit = bits & -bits
             rank = (w << 8) + bit.bit_length() - 1
             bucket = buckets[rank]
-            i = heappop(bucket)
-            if not bucket:
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
                 del buckets[rank]
                 words[w] = bits = bits ^ bit
                 if not bits:
-                    top ^= 1 << w
+                    top ^= BITS[w]
             j = end[i]
             if not j or j >= n or rank_of(piece[i : (to := end[j])]) != rank:
                 continue  # stale
@@ -95,10 +95,22 @@ class Tokenizer:
             end[i] = to
             before[to] = i
             if to < n and (r := rank_of(piece[i : end[to]])) is not None:
-                new.append((r, i))
+                if r in buckets:
+                    heappush(buckets[r], i)
+                else:
+                    buckets[r] = [i]
+                    w = r >> 8
+                    words[w] |= BITS[r & 255]
+                    top |= BITS[w]
             if (p := before[i]) >= 0 and (r := rank_of(piece[p:to])) is not None:
-                new.append((r, p))
-        return [self.ranks[piece[i:j]] for i, j in enumerate(end) if j]
+                if r in buckets:
+                    heappush(buckets[r], p)
+                else:
+                    buckets[r] = [p]
+                    w = r >> 8
+                    words[w] |= BITS[r & 255]
+                    top |= BITS[w]
+        return [rank_of(piece[i:j]) for i, j in enumerate(end) if j]
 
     def packed(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
