@@ -7,16 +7,17 @@ every candidate. A document position with that shingle gives the only start at w
 window can lie (positional bound); starts before the text or windows that run past its end are
 out (length bound); the rest is verified word by word.
 
-The benchmark is read in blocks of at most ``block`` windows, whose index alone is broadcast;
-each block is matched against all documents. With one block this is two passes over the
-documents and no shuffle of them; with more, the documents and their hits so far are
-checkpointed between blocks. No word of a hot passage is ever a join key.
+The benchmark is read in blocks of at most ``block`` windows, whose index alone is broadcast (a longer
+item is parted, its windows whole); each block is matched against all documents. With one block this is
+two passes over the documents and no shuffle of them; with more, only what was hit in a text, under a
+digest of the text, is written down for each block and joined at the end. No word of a hot passage is
+ever a join key.
 
 Defined results: a null text or item has no words; an item without words has no window; equal
 items under several ids all count; a null item id never names an item but its windows are hit.
-Rows are independent, so repeated ones give repeated results; all columns are kept, the
-operator's own being named hit_spans, n_words and items (an input column of such a name is
-replaced).
+Rows are independent, so repeated ones give repeated results; texts of any length are taken whole; an
+empty table has no rows, an empty benchmark hits nothing; all columns are kept, the operator's own
+being named hit_spans, n_words and items (an input column of such a name is replaced).
 """
 
 from __future__ import annotations
@@ -48,8 +49,8 @@ class Index:
     def __init__(self, items: list[tuple], window: int, shingle: int):
         self.vocabulary: dict[bytes, int] = {}
         self.windows: dict[tuple[int, ...], list] = defaultdict(list)
-        for item, text in items:
-            own = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text)]
+        for item, part in items:
+            own = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in part]
             for i in range(max(1, len(own) - window + 1) if own else 0):
                 got = self.windows[tuple(own[i : i + window])]
                 if item is not None and item not in got:
@@ -134,16 +135,19 @@ def merged(spans: list) -> list[list[int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block: int) -> Iterator[list[tuple]]:
-    """The items, as many at a time as have ``block`` words; one partition at a time reaches the driver."""
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block: int) -> Iterator[list[tuple]]:
+    """The items' words, as many at a time as have ``block`` windows; one partition at a time reaches the driver."""
     now, n = [], 0
     for item, text in benchmark.select(F.col(item_col).cast("string"), text_col).toLocalIterator():
-        size = len(text or "")
-        if now and n + size > 6 * block:
-            yield now
-            now, n = [], 0
-        now.append((item, text))
-        n += size
+        own = words(text)
+        for at in range(0, max(1, len(own) - window + 1) if own else 0, block):
+            part = own[at : at + block + window - 1]
+            size = max(1, len(part) - window + 1)
+            if now and n + size > block:
+                yield now
+                now, n = [], 0
+            now.append((item, part))
+            n += size
     if now:
         yield now
 
@@ -166,20 +170,28 @@ def _frequency(docs: DataFrame, text_col: str, shared) -> dict[int, int]:
 def hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, shingle: int = 5, block: int = 200_000) -> DataFrame:
     """``docs`` with n_words, hit_spans (merged [start, end) in words) and items (sorted ids of items with occurring windows)."""
     spark = docs.sparkSession
-    own = ["n_words", "hit_spans", "items"]
-    now = docs.drop(*own)
+    now = docs.drop("n_words", "hit_spans", "items")
     kept = now.columns
-    now = now.withColumns({"n_words": F.lit(None).cast("long"), "hit_spans": F.expr("cast(array() as array<array<bigint>>)"), "items": F.expr("cast(array() as array<string>)")})
-    blocks = _blocks(benchmark, item_col, item_text_col, block)
-    now = _matched(spark, docs, now, kept, text_col, Index(next(blocks, []), window, shingle))
+    none = {"hit_spans": F.expr("cast(array() as array<array<bigint>>)"), "items": F.expr("cast(array() as array<string>)")}
+    blocks = _blocks(benchmark, item_col, item_text_col, window, block)
+    first, found = Index(next(blocks, []), window, shingle), None
+    key = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
     for items in blocks:
-        now = _matched(spark, docs, checkpointed(now), kept, text_col, Index(items, window, shingle))
-    return now
-
-
-def _matched(spark, docs: DataFrame, now: DataFrame, kept: list[str], text_col: str, index: Index) -> DataFrame:
+        texts = now.select(key.alias("k"), F.col(text_col).alias("text"))
+        more = _matched(spark, now, texts.withColumns({"n_words": F.lit(None).cast("long"), **none}), ["k", "text"], "text", text_col, Index(items, window, shingle))
+        more = checkpointed(more.filter(F.size("hit_spans") > 0).select("k", "hit_spans", "items").distinct())
+        found = more if found is None else found.unionByName(more)
+    if found is None:
+        return _matched(spark, now, now.withColumns({"n_words": F.lit(None).cast("long"), **none}), kept, text_col, text_col, first)
+    found = found.groupBy("k").agg(F.flatten(F.collect_list("hit_spans")).alias("s"), F.flatten(F.collect_list("items")).alias("i"))  # as many as there are blocks
+    joined = now.select("*", key.alias("__k")).join(found.withColumnsRenamed({"k": "__k", "s": "__s", "i": "__i"}), "__k", "left").select(*kept, F.lit(None).cast("long").alias("n_words"), F.coalesce("__s", none["hit_spans"]).alias("hit_spans"), F.coalesce("__i", none["items"]).alias("items"))
+    return _matched(spark, now, joined, kept, text_col, text_col, first)
+
+
+def _matched(spark, docs: DataFrame, now: DataFrame, kept: list[str], text_col: str, docs_text: str, index: Index) -> DataFrame:
+    """``now`` (the columns of ``kept``, n_words, hit_spans, items) with the words counted and the hits of a block added; ``docs`` are all documents."""
     if index.windows:
-        index.order(_frequency(docs, text_col, spark.sparkContext.broadcast(index)))
+        index.order(_frequency(docs, docs_text, spark.sparkContext.broadcast(index)))
     shared, at, width = spark.sparkContext.broadcast(index), kept.index(text_col), len(kept)
 
     def run(batches):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,15 +17,22 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the checkpoint folder, its lineage cut.
 
-    The folder is the session's ``spark.checkpoint.dir``; one is made only where none is set
-    (tests, a laptop), never on a cluster that names its own.
+    The folder is the session's ``spark.checkpoint.dir``; one is made only where none is set and
+    all runs in one process (tests, a laptop).
     """
-    spark = df.sparkSession
+    checkpoint_folder(df.sparkSession)
+    with _cleaned_up(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)  # a new frame, so that the setting holds for it
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weftlink-checkpoint-"))
-    with _cleaned_up(spark):
-        return df.select("*").checkpoint(eager=True)  # a new frame, so that the setting holds for it
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="weftlink-checkpoint-"))
+    return sc.getCheckpointDir()
 
 
 @contextlib.contextmanager
