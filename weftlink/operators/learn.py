@@ -15,10 +15,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import written
 from ..functions.normalize import tokens
-from ..functions.similarity import FEATURES, pair_features, profile
+from ..functions.similarity import FEATURES
 from . import metrics
-from .matching import last_by_id
+from .matching import compared
 
 POOL_STEP, POOL_CAP, PER_TOKEN, TOKEN_LENGTH = 150, 40_000, 15, 3  # fixed values
 
@@ -95,16 +96,15 @@ def validation_pairs(queries: DataFrame, pool: DataFrame, seed: int = 42) -> Dat
 
 
 def featured(pairs: DataFrame, queries: DataFrame, targets: DataFrame) -> DataFrame:
-    """``pairs`` with features in single precision. Only records that are in a pair are profiled; of targets that share an id the last source's counts."""
-    a = profile(queries.join(pairs.select("source1_entity_id").distinct(), "source1_entity_id", "left_semi").select("source1_entity_id", "norm_name", "norm_address"), "a")
-    b = profile(last_by_id(targets.join(pairs.select("entity_id").distinct(), "entity_id", "left_semi")).select("entity_id", "norm_name", "norm_address"), "b")
-    both = pair_features(pairs.join(a.drop("norm_name", "norm_address"), "source1_entity_id").join(b.drop("norm_name", "norm_address"), "entity_id"))
+    """``pairs`` of known records with features in single precision; of targets that share an id the last source's counts."""
+    known = pairs.join(queries.select("source1_entity_id").distinct(), "source1_entity_id", "left_semi")
+    both = compared(known, queries.withColumnRenamed("source1_entity_id", "entity_id"), targets)
     return both.select(*pairs.columns, *(F.col(f).cast("float").cast("double").alias(f) for f in FEATURES))
 
 
 def fit(rows: DataFrame, iterations: int = 180, step: float = 0.08, depth: int = 6, leaf: int = 25, seed: int = 42) -> PipelineModel:
     trees = GBTClassifier(maxIter=iterations, stepSize=step, maxDepth=depth, minInstancesPerNode=leaf, seed=seed, weightCol="weight", labelCol="label")
-    return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), trees]).fit(rows)
+    return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), trees]).fit(written(rows))  # read many times
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:

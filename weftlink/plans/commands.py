@@ -49,7 +49,7 @@ def run_inference(spark: SparkSession, candidates: str, source1: str, source2: s
     ranked = tables.read_candidates(spark, candidates)
     fitted, facts = learn.load(model) if model else (None, {})
     threshold = threshold if threshold is not None else facts.get("optimal_threshold", matching.FALLBACK_THRESHOLD)
-    pairs = matching.gated(matching.pairs(ranked, _records(spark, source1, cache_dir), _targets(spark, source2, source3, cache_dir)))
+    pairs = matching.gated(matching.compared(ranked, _records(spark, source1, cache_dir), _targets(spark, source2, source3, cache_dir)))
     scored = learn.score(fitted, pairs) if fitted else pairs.withColumn("probability", mean_score())
     asked = tables.read_tsv(spark, candidates, tables.CANDIDATES).select(F.col("source1_entity_id").alias("entity_id")).distinct()
     observed = F.count(F.lit(1)).alias("pairs_scored")
