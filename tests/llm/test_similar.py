@@ -60,3 +60,14 @@ def test_large_groups_lose_no_link(spark, monkeypatch):
     assert len(set(label.values())) > 20
     docs = spark.createDataFrame([(d, t, "en", "s", None) for d, t in rows], SCHEMA)
     assert {r.id: r.component for r in similar.similar(docs).collect()} == label
+
+
+def test_fingerprints_are_joined_in_blocks(spark):
+    """The stage's SimHash step links what differs in four bits or fewer, by the blocks that op1 uses."""
+    rng = random.Random(3)
+    base = [" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400)) for _ in range(12)]
+    docs = spark.createDataFrame([(10 * i + k, t + " more" * k, "en", "s", None) for i, t in enumerate(base) for k in (0, 1)] + [(900, "", "en", "s", None)], SCHEMA)
+    prints = similar.signatures(docs).collect()
+    wanted = {tuple(sorted((p.sig, q.sig))) for p in prints for q in prints if p.sig < q.sig and p.size and q.size and ((p.fp ^ q.fp) & (1 << 64) - 1).bit_count() <= 4}
+    members = similar.signatures(docs)
+    assert len(wanted) >= 12 and {(r.a, r.b) for r in similar.fingerprint_links(members).collect()} == wanted

@@ -14,7 +14,7 @@ if they have none); repeated rows give repeated results; other columns are not r
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -47,8 +47,13 @@ def hashes(text: str | None, words: int) -> Iterator[np.ndarray]:
 
 def fingerprint(text: str | None, words: int = 4) -> int:
     """The 64-bit SimHash of the shingles of ``words`` words."""
+    return bits(hashes(text, words))
+
+
+def bits(parts: Iterable[np.ndarray]) -> int:
+    """The fingerprint of hashes in pieces: each bit that more than half of them have."""
     n, ones = 0, np.zeros(64, dtype=np.int64)
-    for h in hashes(text, words):
+    for h in parts:
         n += len(h)
         ones += np.add.reduce(np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
