@@ -58,6 +58,12 @@ def test_simhash_matches_brute_force(spark):
     assert {d: v[0] for d, v in got.items()} == prints and {d: v[1] for d, v in got.items()} == label
 
 
+def test_simhash_broadcasts_no_table_that_grows(spark):
+    members = spark.range(50).selectExpr("id AS rep", "id * 7919 AS fp")  # of a size that Spark knows, and would broadcast
+    plan = simhash.hamming_links(members)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan, plan
+
+
 def test_simhash_splits_hot_keys_without_losing_links(spark):
     base = 0x0123456789ABCDEF
     prints = {0: base} | {i + 1: base ^ 1 << i for i in range(64)}

@@ -38,16 +38,16 @@ def components(edges: DataFrame) -> DataFrame:
 
     Only nodes that stand in an edge to another node are returned. Both steps aggregate a minimum
     (combined on the map side) and join it back: a hub's edges stream through one task's sort-merge
-    join, but are never held there; the rounds needed grow with the logarithm of the size of a component.
+    join, but are never held there, nor is a table broadcast through the driver; the rounds needed grow with the logarithm of the size of a component.
     """
     now = checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct())
     sign = _sign(now)
     while sign[0]:
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
+        large = both.join(low.hint("merge"), "u").filter("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
         low = large.groupBy("b").agg(F.min("a").alias("m"))
-        joined = large.join(low, "b")
+        joined = large.join(low.hint("merge"), "b")
         small = joined.select(F.explode(F.array(F.struct(F.col("m").alias("a"), F.col("b")), F.struct(F.col("m").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
         now = checkpointed(small.filter("a <> b").distinct())
         last, sign = sign, _sign(now)

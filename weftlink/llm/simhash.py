@@ -3,7 +3,8 @@
 Two fingerprints that differ in at most ``distance`` bits leave at least ``agree`` of
 ``distance + agree`` blocks of bits untouched. Every choice of ``agree`` blocks makes one key,
 so close pairs share a key, and a key is wide enough (27 bits for 4 and 3) that chance
-companions stay few as the corpus grows. Equal fingerprints are one member, so that copies
+companions stay few as the corpus grows. Tables that grow with the input are merged, never
+broadcast: estimates know neither compression nor how many keys a row makes. Equal fingerprints are one member, so that copies
 never meet each other; a key with more than ``chunk`` members is cut into chunks, whose pairs
 go to different tasks. No member is left out.
 
@@ -134,7 +135,7 @@ def hamming_links(members: DataFrame, distance: int = 4, agree: int = 3, chunk:
     shared = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     pieces = F.ceil(F.col("n") / chunk)
     own = F.pmod(F.xxhash64("fp", "k"), pieces)
-    spread = keyed.join(shared, "k").select("rep", "fp", "k", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("other"))
+    spread = keyed.join(shared.hint("merge"), "k").select("rep", "fp", "k", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("other"))
     dealt = spread.select(F.xxhash64("k", F.least("own", "other"), F.greatest("own", "other")).alias("g"), "fp", "rep")
     return dealt.repartition("g").sortWithinPartitions("g").mapInArrow(_close(distance), "a long, b long")
 
@@ -150,10 +151,10 @@ def named(prints: DataFrame, members: DataFrame, edges: DataFrame, key: str) ->
     """(id, key, component) of ``prints``, whose ``key`` has ``rep`` in ``members``; ``edges`` (a, b) link reps."""
     # ids that stand on several rows with different texts join these texts: the row's id is the node
     ties = prints.filter("id is not null").groupBy("id").agg(F.min(key).alias("one"), F.max(key).alias("other")).filter("one <> other").select("id")
-    multi = prints.join(ties, "id", "left_semi").join(members, key).select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    multi = prints.join(ties.hint("merge"), "id", "left_semi").join(members.hint("merge"), key).select(F.col("id").alias("a"), F.col("rep").alias("b"))
     grouped = components(edges.unionByName(multi)).withColumnsRenamed({"node": "rep", "component": "found"})
-    found = members.join(grouped, "rep", "left").select(key, F.coalesce("found", "rep").alias("component"))
-    return prints.join(found, key, "left").select("id", key, "component")
+    found = members.join(grouped.hint("merge"), "rep", "left").select(key, F.coalesce("found", "rep").alias("component"))
+    return prints.join(found.hint("merge"), key, "left").select("id", key, "component")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, distance: int = 4, agree: int = 3) -> DataFrame:
