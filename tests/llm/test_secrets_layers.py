@@ -155,3 +155,36 @@ def test_layers_larger_than_a_window(name, monkeypatch):
         run = packed(squeeze(data))
         assert (2, 0, 2 + len(run)) in secrets.find(f"x {run} y")[1], what
         assert kinds(packed(squeeze(data.replace(SECRET.encode(), b"nothing")))) <= ({0} if "base64" in what or "percent" in what or what == "gzip of it" else set()), what
+
+
+def test_results_do_not_depend_on_sizes(monkeypatch):
+    """Equal finds whether layers are larger than what is held in memory or not."""
+    n, start, noise = 30_000, b"w, " * 30_000, random.Random(5).randbytes(60_000)
+    wrapped = packed(gzip.compress(noise + b" " + SECRET.encode() + b" " + noise))
+    hidden = {
+        "behind another run": b"g" * n + b"." + packed(b"a, " + SECRET.encode() + b" b").encode() + b"." + b"h" * n,
+        "at a run's end": b"g" * n + b"password = abcdefghijkl9 hh",
+        "far apart": b"gg hh " * n + b"password" + b" " * 9000 + b"= abcdefghijkl9 " + b"hh " * n,
+        "compressed in a run": b"g" * n + "".join(f"%{b:02x}" for b in gzip.compress(SECRET.encode())).encode() + b"h" * n,
+        "wrapped": "\n".join(wrapped[i : i + 75] for i in range(0, len(wrapped), 75)).encode(),
+        "below a layer of the same start": start + packed(gzip.compress(start + SECRET.encode())).encode(),
+        "in a text that begins like zlib": b"x " + SECRET.encode() + b" y" * n,
+    }
+    none = b"g" * n + b"token:password:abcdefghijklmn" + b"g" * n
+    for window, piece in ((8 << 20, 1 << 20), (1 << 14, 1 << 12)):
+        monkeypatch.setattr(secrets, "WINDOW", window)
+        monkeypatch.setattr(secrets, "PIECE", piece)
+        for what, data in hidden.items():
+            run = packed(gzip.compress(data))
+            assert secrets.find(f"x {run} y")[1] == [(2, 0, 2 + len(run))], (what, window)
+        assert secrets.find(packed(gzip.compress(none)))[1] == [], window
+
+
+def test_small_layers_are_the_same_from_files(monkeypatch):
+    rng = random.Random(12)
+    texts = [f"a {packed(gzip.compress(nested(rng, rng.randint(1, 3), f'é, token: aaaabbbbccccdddd {i}').encode()))} b" for i in range(60)]
+    want = [secrets.find(t) for t in texts]
+    assert all(found for _, found in want)
+    monkeypatch.setattr(secrets, "WINDOW", 1)
+    monkeypatch.setattr(secrets, "PIECE", 7)
+    assert [secrets.find(t) for t in texts] == want

@@ -9,10 +9,9 @@ first is taken. Every layer knows how its characters map to those of the layer a
 becomes a span of the document; a compressed layer maps to its whole run.
 
 Layers of any bytes are entered: a byte that is no text stays as it is (under escapes, in its escaped
-form), and the rest around it is decoded. Layers of any size are scanned: what inflates to more than
-``WINDOW`` characters is taken as a flow, in windows cut where neither a rule nor a run can match
-across, so memory is bounded and nothing is left out; a run that fills a window is itself decoded as
-a flow.
+form), and the rest around it is decoded. All that stands under a compressed run has the run's span, so only
+kinds are sought there, by one way whatever its size: layers are whole bytes, which lie in memory up to
+``WINDOW`` and are mapped from a file of the task beyond that, and are decoded piece by piece.
 
 Defined results: a null text is the empty text, which has no spans; rows are independent of each
 other, so repeated rows have repeated results; an empty table has no rows; other columns are not read.
@@ -25,12 +24,14 @@ import bz2
 import codecs
 import hashlib
 import lzma
+import mmap
 import re
+import tempfile
 import zlib
 from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
-from itertools import accumulate, chain
+from itertools import accumulate, islice
 
 import pyarrow as pa
 import zstandard
@@ -50,10 +51,16 @@ _RUN = "[A-Za-z0-9+/_-]"
 BASE64 = re.compile(rf"(?<!{_RUN}){_RUN}{{16,}}={{0,2}}")
 WRAPPED = re.compile(rf"(?<!{_RUN}){_RUN}{{16,}}(?:\r?\n[\x20\t]*{_RUN}+)+={{0,2}}")
 LINE = re.compile(rf"{_RUN}+")
-#: Characters of a layer that are held at once; a flow is cut at the last of NEUTRAL, else at the last blank or line break.
-WINDOW, PIECE, OVERLAP = 8 << 20, 1 << 20, 1 << 12
-NEUTRAL = re.compile(r"[^A-Za-z0-9+/_.=:%\\{}&#;\"'\s-]")
-BLANK = re.compile(r"\s")
+#: Bytes of a layer that are held in memory, and those that are decoded at once.
+WINDOW, PIECE = 8 << 20, 1 << 20
+#: The same over bytes; runs are taken without a way back, which would be held for each of their parts.
+B_RULES = [(re.compile(rule.pattern.encode(), rule.flags & re.IGNORECASE), group, least) for _, rule, group, least in RULES]
+B_PERCENT, B_ESCAPE = (re.compile(x.pattern.replace(")+", ")++").encode()) for x in (PERCENT, ESCAPE))
+B_BASE64, B_LINE = re.compile(BASE64.pattern.encode()), re.compile(LINE.pattern.encode())
+B_FIRST = re.compile(rf"(?<!{_RUN}){_RUN}{{16,}}(?=\r?\n[\x20\t]*{_RUN})".encode())
+B_NEXT = re.compile(rf"\r?\n[\x20\t]*({_RUN}+)".encode())
+SURROGATE = re.compile("[\ud800-\udfff]")
+ALPHABET = bytes.maketrans(b"-_", b"+/")
 
 
 def scan(text: str) -> list[tuple[int, int, int]]:
@@ -216,30 +223,6 @@ def _inflated(pieces: Iterator[bytes], damage: list[bool]) -> Iterator[bytes]:
     damage += [True] * inflater.ended
 
 
-def _fully_inflated(pieces: Iterator[bytes], damage: list[bool]) -> Iterator[bytes]:
-    """Inflated as long as what comes out is compressed itself and doesn't begin like what it comes from."""
-    seen: set[bytes] = set()
-    while True:
-        first = b""
-        for piece in pieces:
-            first += piece
-            if len(first) >= 6:
-                break
-        pieces = chain([first], pieces)
-        if not _magic(first) or first in seen:
-            return pieces
-        seen.add(first)
-        pieces = _inflated(pieces, damage)
-
-
-def _texts(pieces: Iterator[bytes]) -> Iterator[str]:
-    """Bytes as text, those that are no UTF-8 as one lone surrogate each."""
-    decoder = codecs.getincrementaldecoder("utf-8")(errors="surrogateescape")
-    for data in pieces:
-        yield decoder.decode(data)
-    yield decoder.decode(b"", True)
-
-
 def _decoded(run: str) -> bytes:
     """The bytes of a base64 run of either alphabet, without its padding."""
     body = run.replace("-", "+").replace("_", "/")
@@ -247,130 +230,181 @@ def _decoded(run: str) -> bytes:
     return base64.b64decode(body + "=" * (-len(body) % 4))
 
 
-class _Flow:
-    """A layer that isn't held as a whole: its text comes in pieces, all of one span, so that the kinds found are all there is to tell."""
-
-    def __init__(self, kinds: set[int], above: tuple[bytes, ...] = ()):
-        self.kinds, self.above, self.text, self.start, self.ended = kinds, above, "", None, False
-        self.long: list[Callable[[str, bool], None]] | None = None  # decoders of a run that goes on beyond a window
-
-    def feed(self, text: str, last: bool = False) -> None:
-        self.text += text
-        if self.start is None and (last or len(self.text) >= WINDOW):
-            self.start = hashlib.sha256(self.text[:WINDOW].encode(errors="surrogatepass")).digest()
-            self.ended = self.start in self.above  # it comes from itself
-        while not self.ended and (len(self.text) >= WINDOW or last and self.text):
-            if self.long is not None:
-                self._go_on(last)
-            elif last and len(self.text) < 2 * WINDOW:
-                self._scan(self.text)
-                self.text = ""
-            elif cut := self._cut(NEUTRAL):
-                self._scan(self.text[:cut])
-                self.text = self.text[cut:]
-            elif cut := self._cut(BLANK):  # a rule may match across
-                self._scan(self.text[: cut + OVERLAP])
-                self.text = self.text[cut:]
+class _Bytes:
+    """The bytes of a layer, in memory or mapped from a file that goes with them, and their digest."""
+
+    def __init__(self, pieces: Iterator[bytes]):
+        held, size, digest, file = [], 0, hashlib.sha256(), None
+        for piece in pieces:
+            digest.update(piece)
+            size += len(piece)
+            if file is None and size > WINDOW:
+                file = tempfile.TemporaryFile()
+                file.writelines(held)
+                held = []
+            (file.write if file else held.append)(piece)
+        self.digest = digest.digest()
+        if file:
+            with file:
+                file.flush()
+                self.data = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+        else:
+            self.data = b"".join(held)
+
+
+def _cut(data, start: int, end: int) -> Iterator[bytes]:
+    for at in range(start, end, PIECE):
+        yield data[at : min(end, at + PIECE)]
+
+
+def _unescaped_run(data, start: int, end: int) -> Iterator[bytes]:
+    """What ``_percent`` or ``_escape`` make of the run, in pieces."""
+    mark = data[start : start + 3]
+    if mark[:2] == b"\\U":
+        ok = all((x := int(data[i + 2 : i + 10], 16)) <= 0x10FFFF and not 0xD800 <= x <= 0xDFFF for i in range(start, end, 10))
+        yield from (chr(int(data[i + 2 : i + 10], 16)).encode() for i in range(start, end, 10)) if ok else _cut(data, start, end)
+        return
+    if mark[:1] == b"&" or mark == b"\\u{":
+        got = _escape(data[start:end].decode())
+        yield data[start:end] if got is None else "".join(x for x, _ in got).encode()
+        return
+    sign = mark[:1] if mark[:1] == b"%" else mark[:2]
+    width, codec, errors = {b"%": (3, "utf-8", "surrogateescape"), b"\\x": (4, "utf-8", "surrogateescape"), b"\\u": (6, "utf-16-be", "surrogatepass")}[sign]
+    decoder, at, step = codecs.getincrementaldecoder(codec)(errors), start, width << 14
+    for i in range(start, end, step):
+        raw = bytes.fromhex(data[i : min(end, i + step)].replace(sign, b"").decode())
+        text = decoder.decode(raw, i + step >= end)
+        if not SURROGATE.search(text):
+            yield (out := text.encode())
+            at += width * (len(out) if codec == "utf-8" else len(text.encode(codec)) // 2)
+            continue
+        out = []
+        for c in text:
+            if "\ud800" <= c <= "\udfff":
+                out.append(data[at : at + width])
+                at += width
             else:
-                self.long = [self._rules(), self._base64(), self._escapes()]
-        if last and self.long is not None:
-            for decoder in self.long:
-                decoder("", True)
-
-    def _cut(self, pattern: re.Pattern) -> int:
-        """Behind the last match in the window; 0 if there is none."""
-        for back in (1 << 10, 1 << 16, WINDOW):
-            if found := [m.end() for m in pattern.finditer(self.text, max(0, WINDOW - back), WINDOW)]:
-                return found[-1]
-        return 0
-
-    def _scan(self, text: str) -> None:
-        self.kinds |= {kind for _, kind, _ in find(text, self.above + (self.start,) if self.start else self.above)[1]}
-
-    def _go_on(self, last: bool) -> None:
-        m = NEUTRAL.search(self.text) or BLANK.search(self.text)
-        end = m.start() if m else len(self.text)
-        for decoder in self.long:
-            decoder(self.text[:end], bool(m) or last)
-        self.text = self.text[end:]
-        if m or last:
-            self.long = None
-
-    def _rules(self):
-        tail = ""
-
-        def take(text: str, last: bool) -> None:
-            nonlocal tail
-            tail += text
-            self.kinds.update(kind for _, kind, _ in scan(tail))
-            tail = tail[-OVERLAP:]
-
-        return take
-
-    def _inner(self) -> _Flow:
-        return _Flow(self.kinds, self.above + (self.start,))
-
-    def _base64(self):
-        """The run's body up to its first character of another kind, decoded four characters at a time."""
-        held, ended, inflater, flow = "", False, _Inflater(), self._inner()
-        decoder = codecs.getincrementaldecoder("utf-8")(errors="surrogateescape")
-
-        def take(text: str, last: bool) -> None:
-            nonlocal held, ended
-            if ended:
-                return
-            held += text
-            m = LINE.match(held)
-            stop = m.end() if m else 0
-            ended = last or stop < len(held)
-            cut = stop if ended else stop // 4 * 4
-            data, held = _decoded(held[:cut]), held[cut:]
-            for piece in inflater.feed(data, ended):
-                flow.feed(decoder.decode(piece))
-            if ended:
-                flow.feed(decoder.decode(b"", True), True)
-
-        return take
-
-    def _escapes(self):
-        held, changed, flow = "", False, self._inner()
-
-        def take(text: str, last: bool) -> None:
-            nonlocal held, changed
-            held += text
-            cut = len(held)
-            if not last:  # an escape of up to 12 characters isn't parted
-                for mark in "%\\&":
-                    at = held.rfind(mark, cut - 12)
-                    cut = at if 0 <= at else cut
-            plain = held[:cut]
-            for pattern, decode in ((PERCENT, _percent), (ESCAPE, _escape)):
-                plain = pattern.sub(lambda m: m.group() if (got := decode(m.group())) is None else "".join(x for x, _ in got), plain)
-            changed = changed or plain != held[:cut]
-            held = held[cut:]
-            if changed:
-                flow.feed(plain, last)
-
-        return take
-
-
-def _compressed(layer: Layer, span: tuple[int, int], data: bytes, kinds_at: Callable, above: tuple) -> tuple[bool, Layer | None]:
-    """(whether bytes are compressed and undamaged, the layer that they inflate to, all of it at ``span``); no layer if they aren't compressed, or it is large and has been scanned as a flow."""
+                out.append(x := c.encode())
+                at += width * (len(x) if codec == "utf-8" else 1 + (c > "\uffff"))
+        yield b"".join(out)
+
+
+def _unescaped(data, pattern: re.Pattern) -> Iterator[bytes]:
+    """``data`` with every match that can be decoded replaced."""
+    at = 0
+    for m in pattern.finditer(data):
+        yield from _cut(data, at, m.start())
+        yield from _unescaped_run(data, *m.span())
+        at = m.end()
+    yield from _cut(data, at, len(data))
+
+
+def _lines(data, at: int) -> Iterator[tuple[int, int]]:
+    """The lines of the wrapped block that begins at ``at``, from there on."""
+    m = B_LINE.match(data, at)
+    span = m.span()
+    while True:
+        yield span
+        if (m := B_NEXT.match(data, span[1])) is None:
+            return
+        span = m.span(1)
+
+
+def _byte_runs(data) -> Iterator[Iterator[tuple[int, int]]]:
+    """The lines of each base64 run, as ``_runs``."""
+    for m in B_BASE64.finditer(data):
+        end = m.end()
+        while data[end - 1] == 61:  # =
+            end -= 1
+        yield iter([(m.start(), end)])
+    at = 0
+    while data.find(b"\n", at) >= 0 and (m := B_FIRST.search(data, at)):
+        yield _lines(data, m.start())
+        place = width = n = first = 0
+        for i, (a, at) in enumerate(_lines(data, m.start())):
+            if n and at - a == width:
+                n += 1
+                continue
+            if n > 1 and first and width >= 16:
+                yield islice(_lines(data, place), n + 1)
+            place, width, n, first = a, at - a, 1, i
+        if n > 1 and first and width >= 16:
+            yield islice(_lines(data, place), n + 1)
+
+
+def _unbased(data, lines: Iterator[tuple[int, int]]) -> Iterator[bytes]:
+    """``_decoded`` of the lines, in pieces."""
+    held, size = [], 0
+    for start, end in lines:
+        for piece in _cut(data, start, end):
+            held.append(piece)
+            size += len(piece)
+            if size >= 1 << 16:
+                run = b"".join(held)
+                yield base64.b64decode(run[: (cut := size // 4 * 4)].translate(ALPHABET))
+                held, size = [run[cut:]], size - cut
+    yield _decoded(b"".join(held).decode())
+
+
+def _inflations(raw: _Bytes) -> tuple[bool, list[_Bytes]]:
+    """(whether bytes are compressed and undamaged, the layers that they inflate to): the last one of what is compressed several times, and those that only begin like it."""
     damage: list[bool] = []
-    got, size, source = [], 0, _fully_inflated((data[i : i + PIECE] for i in range(0, len(data), PIECE)), damage)
-    for piece in source:
-        got.append(piece)
-        size += len(piece)
-        if size > WINDOW:
-            kinds: set[int] = set()
-            flow = _Flow(kinds, above)
-            for text in _texts(chain(got, source)):
-                flow.feed(text)
-            flow.feed("", True)
-            kinds_at(span, kinds)
-            return not damage, None
-    inner = b"".join(got)
-    return (False, None) if inner == data else (not damage, Layer(inner.decode(errors="surrogateescape"), layer, lambda i: span))
+    now, known, out = raw, {raw.digest}, []
+    while _magic(now.data[:6]):
+        before = len(damage)
+        inner = _Bytes(_inflated(_cut(now.data, 0, len(now.data)), damage))
+        if inner.digest in known:
+            break
+        if len(damage) > before and now is not raw:
+            out.append(now)
+        known.add(inner.digest)
+        now = inner
+    return now is not raw and not damage, out + [now] * (now is not raw)
+
+
+def _below(layer: _Bytes) -> Iterator[_Bytes]:
+    """The layers that can be unwrapped from bytes; those with escapes replaced at last, when the layer itself has gone."""
+    data = layer.data
+    for sign, pattern in ((b"%", B_PERCENT), (b"\\x", B_ESCAPE)):
+        for m in pattern.finditer(data):
+            a, b = m.span()
+            width = len(sign) + 2
+            if data[a : a + len(sign)] == sign and _magic(bytes.fromhex(data[a : min(b, a + 6 * width)].replace(sign, b"").decode())):
+                yield from _inflations(_Bytes(bytes.fromhex(data[i : min(b, i + (width << 14))].replace(sign, b"").decode()) for i in range(a, b, width << 14)))[1]
+    for lines in _byte_runs(data):
+        raw = _Bytes(_unbased(data, lines))
+        whole, inner = _inflations(raw)
+        yield from inner
+        if not whole:
+            yield raw
+    replaced = [_Bytes(_unescaped(data, pattern)) for pattern in (B_PERCENT, B_ESCAPE) if pattern.search(data)]
+    m = lines = data = layer = None
+    yield from replaced
+
+
+def _kinds(layers: list[_Bytes], above: set[bytes]) -> set[int]:
+    """The kinds that match in the layers or in any layer under them; ``above``: digests of what they come from."""
+    kinds, seen, stack = set(), set(above), [iter(layers)]
+    while stack and len(kinds) < len(RULES):
+        if (layer := next(stack[-1], None)) is None:
+            stack.pop()
+        elif len(layer.data) and layer.digest not in seen:
+            seen.add(layer.digest)
+            for k, (rule, group, least) in enumerate(B_RULES):
+                if k not in kinds and any(m.end(group) - m.start(group) >= least for m in rule.finditer(layer.data)):
+                    kinds.add(k)
+            stack.append(_below(layer))
+    return kinds
+
+
+def _compressed(layer: Layer, data: bytes) -> tuple[bool, set[int]]:
+    """(whether bytes of ``layer`` are compressed and undamaged, the kinds found in what they inflate to)."""
+    whole, layers = _inflations(_Bytes(_cut(data, 0, len(data))))
+    above = set()
+    while layers and layer is not None:
+        above.add(hashlib.sha256(layer.text.encode(errors="surrogateescape")).digest())
+        layer = layer.above
+    return whole, _kinds(layers, above)
 
 
 def _runs(text: str) -> Iterator[tuple[list[tuple[int, int]], int]]:
@@ -410,12 +444,12 @@ def _base64_layer(layer: Layer, lines: list[tuple[int, int]], data: bytes) -> La
     return Layer(inner, layer, lambda i: piece(ends[i], ends[i + 1]))
 
 
-def find(text: str, above: tuple[bytes, ...] = ()) -> tuple[list, list]:
-    """(base matches, all matches): as sorted (start, kind, end), each once. ``above``: the flows that the text comes from."""
+def find(text: str) -> tuple[list, list]:
+    """(base matches, all matches): as sorted (start, kind, end), each once."""
     base = sorted(scan(text))
     if "%" not in text and "\\" not in text and "&#" not in text and not BASE64.search(text):
         return base, base
-    found, seen, scans, todo = set(base), set(), {}, [Layer(text)]
+    found, seen, scans, inflated, todo = set(base), set(), {}, {}, [Layer(text)]
     while todo:
         layer = todo.pop()
         if layer.above is not None:
@@ -425,9 +459,13 @@ def find(text: str, above: tuple[bytes, ...] = ()) -> tuple[list, list]:
                 a, b = layer.origin(start, end)
                 found.add((a, kind, b))
 
-        def kinds_at(span: tuple[int, int], kinds: set[int], layer=layer) -> None:
-            a, b = layer.origin(*span)
-            found.update((a, kind, b) for kind in kinds)
+        def whole(data: bytes, start: int, end: int, layer=layer) -> bool:
+            """Whether the bytes are compressed and undamaged; what they inflate to is searched once for each place."""
+            a, b = layer.origin(start, end)
+            if (data, a, b) not in inflated:
+                inflated[data, a, b], kinds = _compressed(layer, data)
+                found.update((a, kind, b) for kind in kinds)
+            return inflated[data, a, b]
 
         new: list[Layer | None] = []
         for mark, pattern, decode in (("%", PERCENT, _percent), ("\\&", ESCAPE, _escape)):
@@ -437,11 +475,11 @@ def find(text: str, above: tuple[bytes, ...] = ()) -> tuple[list, list]:
             if mark in layer.text:
                 for m in pattern.finditer(layer.text):
                     if m.group().startswith(mark) and _magic(data := bytes.fromhex(m.group().replace(mark, ""))):
-                        new.append(_compressed(layer, m.span(), data, kinds_at, above)[1])
+                        whole(data, *m.span())
         for lines, end in _runs(layer.text):
             data = _decoded("".join(layer.text[a:b] for a, b in lines))
-            whole, inner = _compressed(layer, (lines[0][0], end), data, kinds_at, above) if _magic(data) else (False, None)
-            new += [inner] if whole else [inner, _base64_layer(layer, lines, data)]
+            if not _magic(data) or not whole(data, lines[0][0], end):
+                new.append(_base64_layer(layer, lines, data))
         for x in new:
             if x is None or not x.text or x.repeats():
                 continue
